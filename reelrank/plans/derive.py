@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelrank.config import Params
 from reelrank.operators.model import BiasModel, MFModel, fit_biases
 from reelrank.operators.split import flag_cold_users, temporal_split
+from reelrank.session import cut_lineage
 from reelrank.sources import tables
 
 # Fixed values used by the registered queries on the driver's tables (thresholds that
@@ -26,7 +27,8 @@ class Derived:
 
     @cached_property
     def ratings_all(self) -> DataFrame:
-        return tables.ratings_all(self.spark, self.sf_dir)
+        # Materialised once (reliable checkpoint): every later step reads it several times.
+        return cut_lineage(tables.ratings_all(self.spark, self.sf_dir))
 
     @cached_property
     def cut(self):

@@ -208,3 +208,38 @@ ORACLE: dict[str, str] = {
              CAST(sum(n) AS BIGINT) AS n_test_rows
       FROM hits""", "hits"),
 }
+
+cte("rec_users", "SELECT DISTINCT customer_id FROM test", "test")
+cte("seen", "SELECT DISTINCT customer_id, movie_id FROM ratings", "ratings")
+cte("rec_cand", """
+  SELECT u.customer_id, i.movie_id,
+         (mu.mu + i.b_i) + CASE WHEN uf.customer_id IS NOT NULL
+                                THEN uf.b_u + CASE WHEN uf.p IS NOT NULL AND i.q IS NOT NULL
+                                                   THEN list_dot_product(uf.p, i.q) ELSE 0 END
+                                ELSE 0 END AS raw,
+         CASE WHEN uf.customer_id IS NOT NULL THEN 'warm' ELSE 'cold' END AS segment
+  FROM rec_users u CROSS JOIN itf i CROSS JOIN mu LEFT JOIN uf USING (customer_id)
+  WHERE NOT EXISTS (SELECT 1 FROM seen s
+                    WHERE s.customer_id = u.customer_id AND s.movie_id = i.movie_id)""",
+    "rec_users", "itf", "mu", "uf", "seen")
+_REC = sql(f"""
+  SELECT customer_id, CAST(rn AS INTEGER) AS rank, movie_id,
+         coalesce(t.title, '<unknown>') AS title,
+         round(least(greatest(raw, CAST(1.0 AS DOUBLE)), CAST(5.0 AS DOUBLE)), 6) AS score,
+         round(raw, 6) AS raw_score, segment
+  FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                                     ORDER BY round(raw, 9) DESC, movie_id ASC) AS rn
+        FROM rec_cand) c
+  LEFT JOIN titles t USING (movie_id)
+  WHERE rn <= {P.top_k}""", "rec_cand", "titles")
+ORACLE["recommend_topk"] = _REC
+ORACLE["recommend_topk_blocked"] = _REC
+ORACLE["popularity_topk"] = sql(f"""
+  SELECT CAST(row_number() OVER (ORDER BY round(mu.mu + i.b_i, 9) DESC, i.movie_id) AS INTEGER)
+           AS rank,
+         i.movie_id, coalesce(t.title, '<unknown>') AS title,
+         round(least(greatest(mu.mu + i.b_i, CAST(1.0 AS DOUBLE)), CAST(5.0 AS DOUBLE)), 6)
+           AS score,
+         round(mu.mu + i.b_i, 6) AS raw_score
+  FROM itf i CROSS JOIN mu LEFT JOIN titles t USING (movie_id)
+  QUALIFY rank <= {P.top_k}""", "itf", "mu", "titles")

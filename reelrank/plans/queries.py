@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import filtering, metrics
 from reelrank.operators.scoring import estimate_pairs
+from reelrank.operators.topk import popularity_topk, recommend_topk
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS, Derived)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +156,38 @@ def metrics_report(spark, sf_dir):
                                order=F.round("est", 9))
     keep = {"model_type", "k", "threshold", "n_test_rows"}
     return m.select(*(F.col(c) if c in keep else r6(c).alias(c) for c in m.columns))
+
+
+# --- recommendation (H8–H12, C7, C8, F2, C6) -----------------------------------------
+
+def _recs(spark, sf_dir, **kw):
+    d = Derived(spark, sf_dir)
+    users = d.test.select("customer_id")
+    recs = recommend_topk(users, d.emb_model, d.params.top_k, seen_ratings=d.ratings,
+                          titles=d.titles, scale=d.params.rating_scale,
+                          limit_bytes=d.params.broadcast_limit_bytes, rank_digits=9, **kw)
+    return recs.select("customer_id", "rank", "movie_id", "title", r6("score").alias("score"),
+                       r6("raw_score").alias("raw_score"), "segment")
+
+
+def recommend_topk_q(spark, sf_dir):
+    return _recs(spark, sf_dir, strategy="broadcast")
+
+
+@query
+def recommend_topk_blocked(spark, sf_dir):
+    # The strategy used when the catalog is over the broadcast limit; small blocks so that
+    # several user and item blocks exist even on the test tables.
+    return _recs(spark, sf_dir, strategy="blocked", user_block=256, item_block=512)
+
+
+def popularity_topk_q(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    top = popularity_topk(d.emb_model, d.params.top_k, titles=d.titles,
+                          scale=d.params.rating_scale, rank_digits=9)
+    return top.select("rank", "movie_id", "title", r6("score").alias("score"),
+                      r6("raw_score").alias("raw_score"))
+
+
+REGISTRY["recommend_topk"] = recommend_topk_q
+REGISTRY["popularity_topk"] = popularity_topk_q
