@@ -243,3 +243,94 @@ ORACLE["popularity_topk"] = sql(f"""
          round(mu.mu + i.b_i, 6) AS raw_score
   FROM itf i CROSS JOIN mu LEFT JOIN titles t USING (movie_id)
   QUALIFY rank <= {P.top_k}""", "itf", "mu", "titles")
+
+REL_MIN = derive.QUERY_RELIABLE_MIN_RATINGS
+cte("movie_counts", "SELECT movie_id, count(*) AS n FROM ratings GROUP BY movie_id", "ratings")
+cte("user_counts", "SELECT customer_id, count(*) AS n FROM ratings GROUP BY customer_id",
+    "ratings")
+cte("hist_range", """
+  SELECT CASE WHEN min(n) = max(n) THEN min(n) - 0.5 ELSE CAST(min(n) AS DOUBLE) END AS e0,
+         CASE WHEN min(n) = max(n) THEN max(n) + 0.5 ELSE CAST(max(n) AS DOUBLE) END AS e1
+  FROM movie_counts""", "movie_counts")
+cte("movie_stats", f"""
+  SELECT movie_id, avg(CAST(rating AS DOUBLE)) AS avg_rating, count(*) AS num_ratings
+  FROM ratings GROUP BY movie_id HAVING count(*) >= {REL_MIN}""", "ratings")
+
+
+def _means_sql(direction: str) -> str:
+    return sql(f"""
+      SELECT m.movie_id, coalesce(t.title, CAST(m.movie_id AS VARCHAR)) AS label,
+             round(m.avg_rating, 6) AS avg_rating, m.num_ratings
+      FROM movie_stats m LEFT JOIN titles t USING (movie_id)
+      ORDER BY round(m.avg_rating, 9) {direction}, m.movie_id LIMIT 10""",
+               "movie_stats", "titles")
+
+
+ORACLE.update({
+    "ratings_overview": sql("""
+      SELECT count(*) AS n_ratings, count(DISTINCT customer_id) AS n_users,
+             count(DISTINCT movie_id) AS n_movies, min(date) AS min_date, max(date) AS max_date,
+             min(rating) AS min_rating, max(rating) AS max_rating,
+             count(*) FILTER (WHERE customer_id IS NULL) AS null_customer_id,
+             count(*) FILTER (WHERE movie_id IS NULL) AS null_movie_id,
+             count(*) FILTER (WHERE rating IS NULL) AS null_rating,
+             count(*) FILTER (WHERE date IS NULL) AS null_date
+      FROM ratings""", "ratings"),
+    "rating_distribution": sql("""
+      SELECT rating, n, round(n / sum(n) OVER (), 6) AS share,
+             round(sum(n) OVER (ORDER BY rating ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                   / sum(n) OVER (), 6) AS cum_share
+      FROM (SELECT rating, count(*) AS n FROM ratings GROUP BY rating)""", "ratings"),
+    "rating_mean_median": sql("""
+      SELECT round(avg(CAST(rating AS DOUBLE)), 6) AS mean_rating,
+             round(median(CAST(rating AS DOUBLE)), 6) AS median_rating FROM ratings""",
+        "ratings"),
+    "movie_count_describe": sql("""
+      SELECT count(*) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std,
+             round(CAST(min(n) AS DOUBLE), 6) AS min,
+             round(quantile_cont(n, 0.25), 6) AS p25, round(quantile_cont(n, 0.5), 6) AS p50,
+             round(quantile_cont(n, 0.75), 6) AS p75, round(CAST(max(n) AS DOUBLE), 6) AS max
+      FROM movie_counts""", "movie_counts"),
+    "user_count_percentiles": sql("""
+      SELECT round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.75), 6) AS p75,
+             round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.95), 6) AS p95,
+             round(quantile_cont(n, 0.99), 6) AS p99 FROM user_counts""", "user_counts"),
+    "movie_count_histogram": sql("""
+      SELECT CAST(g.bin AS INTEGER) AS bin,
+             round(r.e0 + g.bin * ((r.e1 - r.e0) / 80), 6) AS lo,
+             round(r.e0 + (g.bin + 1) * ((r.e1 - r.e0) / 80), 6) AS hi,
+             CAST(coalesce(h.cnt, 0) AS BIGINT) AS n
+      FROM range(80) g(bin) CROSS JOIN hist_range r
+      LEFT JOIN (SELECT CAST(least(floor((m.n - r2.e0) / (r2.e1 - r2.e0) * 80), 79) AS INTEGER)
+                          AS bin, count(*) AS cnt
+                 FROM movie_counts m CROSS JOIN hist_range r2 GROUP BY 1) h
+        ON h.bin = g.bin""", "movie_counts", "hist_range"),
+    "top_rated_count": sql("""
+      SELECT m.movie_id, coalesce(t.title, CAST(m.movie_id AS VARCHAR)) AS label,
+             m.n AS num_ratings
+      FROM movie_counts m LEFT JOIN titles t USING (movie_id)
+      ORDER BY m.n DESC, m.movie_id LIMIT 20""", "movie_counts", "titles"),
+    "best_movies": _means_sql("DESC"),
+    "worst_movies": _means_sql("ASC"),
+    "monthly_volume": sql("""
+      SELECT strftime(date, '%Y-%m') AS year_month, count(*) AS n FROM ratings GROUP BY 1""",
+        "ratings"),
+    "sparsity": sql("""
+      SELECT n_users, n_movies, n_ratings, n_users * n_movies AS possible,
+             round(n_ratings / (n_users * n_movies), 6) AS density,
+             round(1.0 - n_ratings / (n_users * n_movies), 6) AS sparsity
+      FROM (SELECT count(DISTINCT customer_id) AS n_users, count(DISTINCT movie_id) AS n_movies,
+                   count(*) AS n_ratings FROM ratings)""", "ratings"),
+    "user_history": sql("""
+      SELECT customer_id, CAST(pos AS INTEGER) AS pos, movie_id, t.title, rating, date,
+             strftime(date, '%d/%B/%Y') AS date_str
+      FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                                         ORDER BY rating DESC, date DESC, movie_id) AS pos
+            FROM ratings) r LEFT JOIN titles t USING (movie_id)
+      WHERE pos <= 15""", "ratings", "titles"),
+    "seen_items": sql("""
+      SELECT customer_id, count(*) AS n_seen,
+             array_to_string(list_sort(list(movie_id)), ',') AS items
+      FROM (SELECT DISTINCT customer_id, movie_id FROM ratings) GROUP BY customer_id""",
+        "ratings"),
+})

@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.operators import filtering, metrics
+from reelrank.operators import filtering, metrics, profile
 from reelrank.operators.scoring import estimate_pairs
 from reelrank.operators.topk import popularity_topk, recommend_topk
-from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS, Derived)
+from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
+                                   QUERY_RELIABLE_MIN_RATINGS, Derived)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -191,3 +192,86 @@ def popularity_topk_q(spark, sf_dir):
 
 REGISTRY["recommend_topk"] = recommend_topk_q
 REGISTRY["popularity_topk"] = popularity_topk_q
+
+
+# --- profile (D3–D12, E5, F4, F5, F8, D19) -------------------------------------------
+
+@query
+def ratings_overview(spark, sf_dir):
+    return profile.overview(Derived(spark, sf_dir).ratings)
+
+
+@query
+def rating_distribution(spark, sf_dir):
+    d = profile.rating_distribution(Derived(spark, sf_dir).ratings)
+    return d.select("rating", "n", r6("share").alias("share"), r6("cum_share").alias("cum_share"))
+
+
+@query
+def rating_mean_median(spark, sf_dir):
+    m = profile.mean_median(Derived(spark, sf_dir).ratings)
+    return m.select(*(r6(c).alias(c) for c in m.columns))
+
+
+@query
+def movie_count_describe(spark, sf_dir):
+    m = profile.count_describe(Derived(spark, sf_dir).ratings, "movie_id")
+    return m.select("count", *(r6(c).alias(c) for c in m.columns if c != "count"))
+
+
+@query
+def user_count_percentiles(spark, sf_dir):
+    m = profile.count_percentiles(Derived(spark, sf_dir).ratings, "customer_id")
+    return m.select(*(r6(c).alias(c) for c in m.columns))
+
+
+@query
+def movie_count_histogram(spark, sf_dir):
+    h = profile.count_histogram(Derived(spark, sf_dir).ratings, "movie_id", 80)
+    return h.select("bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "n")
+
+
+@query
+def top_rated_count(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    return profile.most_rated(d.ratings, d.titles, 20).select("movie_id", "label", "num_ratings")
+
+
+def _means(spark, sf_dir, best):
+    d = Derived(spark, sf_dir)
+    m = profile.movie_means(d.ratings, d.titles, QUERY_RELIABLE_MIN_RATINGS, 10, best=best)
+    return m.select("movie_id", "label", r6("avg_rating").alias("avg_rating"), "num_ratings")
+
+
+@query
+def best_movies(spark, sf_dir):
+    return _means(spark, sf_dir, True)
+
+
+@query
+def worst_movies(spark, sf_dir):
+    return _means(spark, sf_dir, False)
+
+
+@query
+def monthly_volume(spark, sf_dir):
+    return profile.monthly_volume(Derived(spark, sf_dir).ratings)
+
+
+@query
+def sparsity(spark, sf_dir):
+    s = profile.sparsity(Derived(spark, sf_dir).ratings)
+    return s.select("n_users", "n_movies", "n_ratings", "possible",
+                    r6("density").alias("density"), r6("sparsity").alias("sparsity"))
+
+
+@query
+def user_history(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    h = profile.user_history(d.ratings, d.titles, 15)
+    return h.select("customer_id", "pos", "movie_id", "title", "rating", "date", "date_str")
+
+
+@query
+def seen_items(spark, sf_dir):
+    return profile.seen_items(Derived(spark, sf_dir).ratings)
