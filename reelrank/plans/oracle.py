@@ -334,3 +334,27 @@ ORACLE.update({
       FROM (SELECT DISTINCT customer_id, movie_id FROM ratings) GROUP BY customer_id""",
         "ratings"),
 })
+
+ORACLE.update({
+    "sample_users": sql(f"""
+      SELECT r.customer_id, r.movie_id, r.rating, r.date FROM ratings r
+      JOIN (SELECT customer_id FROM (
+              SELECT customer_id, row_number() OVER (
+                       ORDER BY md5(CAST(customer_id AS VARCHAR) || ':{P.seed}'), customer_id) AS rn
+              FROM (SELECT DISTINCT customer_id FROM ratings))
+            WHERE rn <= (SELECT floor(count(DISTINCT customer_id)
+                                      * CAST({P.data_sample_fraction} AS DOUBLE)) FROM ratings)) s
+      USING (customer_id)""", "ratings"),
+    "sample_rows": sql(f"""
+      SELECT customer_id, movie_id, rating, date FROM (
+        SELECT *, row_number() OVER (
+                 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':' || CAST(movie_id AS VARCHAR)
+                              || ':{P.seed}'),
+                          CAST(customer_id AS VARCHAR) || ':' || CAST(movie_id AS VARCHAR)) AS rn
+        FROM ratings)
+      WHERE rn <= (SELECT floor(count(*) * CAST({derive.QUERY_SAMPLE_ROWS_FRACTION} AS DOUBLE))
+                   FROM ratings)""", "ratings"),
+    "dense_index": sql("""
+      SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx
+      FROM (SELECT DISTINCT customer_id FROM ratings)""", "ratings"),
+})

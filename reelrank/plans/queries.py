@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.operators import filtering, metrics, profile
+from reelrank.operators import filtering, metrics, profile, sampling
 from reelrank.operators.scoring import estimate_pairs
 from reelrank.operators.topk import popularity_topk, recommend_topk
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
-                                   QUERY_RELIABLE_MIN_RATINGS, Derived)
+                                   QUERY_RELIABLE_MIN_RATINGS, QUERY_SAMPLE_ROWS_FRACTION,
+                                   Derived)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -275,3 +276,27 @@ def user_history(spark, sf_dir):
 @query
 def seen_items(spark, sf_dir):
     return profile.seen_items(Derived(spark, sf_dir).ratings)
+
+
+# --- sampling and indexing (H1, H2, H6) ----------------------------------------------
+
+@query
+def sample_users_q(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    return sampling.sample_users(d.ratings, d.params.data_sample_fraction, d.params.seed)
+
+
+@query
+def sample_rows_q(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    return sampling.sample_rows(d.ratings, QUERY_SAMPLE_ROWS_FRACTION, d.params.seed)
+
+
+@query
+def dense_index_q(spark, sf_dir):
+    return sampling.dense_index(Derived(spark, sf_dir).ratings, "customer_id")
+
+
+REGISTRY["sample_users"] = REGISTRY.pop("sample_users_q")
+REGISTRY["sample_rows"] = REGISTRY.pop("sample_rows_q")
+REGISTRY["dense_index"] = REGISTRY.pop("dense_index_q")
