@@ -42,7 +42,7 @@ def lenient_date(s) -> Column:
     """``%Y-%m-%d`` parse; NULL on failure (never accepts a bare year or blanks)."""
     s = _c(s)
     return F.when(s.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
-                  F.try_to_date(s, F.lit(DATE_PATTERN)))
+                  F.try_to_date(s, DATE_PATTERN))
 
 
 def hash_key(*cols, seed: int) -> Column:

@@ -358,3 +358,20 @@ ORACLE.update({
       SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx
       FROM (SELECT DISTINCT customer_id FROM ratings)""", "ratings"),
 })
+
+ORACLE.update({
+    "parse_block_text": sql("""
+      SELECT CAST(movie_id AS INTEGER) AS movie_id, CAST(customer_id AS INTEGER) AS customer_id,
+             rating, date FROM ratings""", "ratings"),
+    "qualifying_users": sql("SELECT DISTINCT CAST(customer_id AS INTEGER) AS customer_id FROM test",
+                            "test"),
+    "titles_parse": sql("SELECT CAST(movie_id AS INTEGER) AS movie_id, year, title FROM titles",
+                        "titles"),
+    "forward_fill_events": """
+      SELECT event_id, ts, user_id, event_type,
+             CASE WHEN event_type = 'purchase' THEN value END AS value,
+             last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)
+               OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               AS filled_value
+      FROM events""",
+})

@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.operators import filtering, metrics, profile, sampling
+from reelrank.operators import fill, filtering, metrics, profile, sampling
 from reelrank.operators.scoring import estimate_pairs
+from reelrank.session import scratch_path
+from reelrank.sources import blocktext
+from reelrank.sources import titles as titles_src
 from reelrank.operators.topk import popularity_topk, recommend_topk
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
                                    QUERY_RELIABLE_MIN_RATINGS, QUERY_SAMPLE_ROWS_FRACTION,
@@ -300,3 +303,43 @@ def dense_index_q(spark, sf_dir):
 REGISTRY["sample_users"] = REGISTRY.pop("sample_users_q")
 REGISTRY["sample_rows"] = REGISTRY.pop("sample_rows_q")
 REGISTRY["dense_index"] = REGISTRY.pop("dense_index_q")
+
+
+# --- text sources (A1–A7, E1) --------------------------------------------------------
+
+@query
+def parse_block_text_q(spark, sf_dir):
+    """Round trip: ratings → block text in the shared scratch area → parsed back."""
+    d = Derived(spark, sf_dir)
+    path = scratch_path(spark, "blocktext")
+    blocktext.write_block_text(d.ratings, path, files=4, chunks_per_movie=2)
+    return blocktext.parse_block_text(spark, path)
+
+
+@query
+def qualifying_users_q(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    path = scratch_path(spark, "qualifying")
+    blocktext.write_block_text(d.test, path, files=3, with_rating=False)
+    return blocktext.read_qualifying_users(spark, path)
+
+
+@query
+def titles_parse(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    path = scratch_path(spark, "titles")
+    titles_src.write_titles(d.titles, path, files=2)
+    return titles_src.read_titles(spark, path)
+
+
+@query
+def forward_fill_events(spark, sf_dir):
+    from reelrank.sources.tables import table
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type",
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"))
+    return fill.forward_fill(ev, "value", ["ts", "event_id"], "filled_value")
+
+
+REGISTRY["parse_block_text"] = REGISTRY.pop("parse_block_text_q")
+REGISTRY["qualifying_users"] = REGISTRY.pop("qualifying_users_q")
