@@ -375,3 +375,11 @@ ORACLE.update({
                AS filled_value
       FROM events""",
 })
+
+ORACLE.update({
+    "model_meta": sql("""
+      SELECT round(mu.mu, 6) AS global_mean, CAST(64 AS INTEGER) AS rank,
+             (SELECT count(*) FROM uf) AS n_users, (SELECT count(*) FROM itf) AS n_items
+      FROM mu""", "mu", "uf", "itf"),
+    "model_roundtrip": ORACLE["score_pairs"],
+})
