@@ -383,3 +383,22 @@ ORACLE.update({
       FROM mu""", "mu", "uf", "itf"),
     "model_roundtrip": ORACLE["score_pairs"],
 })
+
+ORACLE.update({
+    "stream_rating_ingest": ORACLE["parse_block_text"],
+    "stream_requests_topk": sql("""
+      SELECT c.customer_id AS request_id, c.customer_id, CAST(c.rn AS INTEGER) AS rank,
+             c.movie_id, coalesce(t.title, '<unknown>') AS title,
+             round(least(greatest(c.raw, CAST(1.0 AS DOUBLE)), CAST(5.0 AS DOUBLE)), 6) AS score,
+             round(c.raw, 6) AS raw_score, c.segment
+      FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                                         ORDER BY round(raw, 9) DESC, movie_id ASC) AS rn
+            FROM rec_cand) c
+      LEFT JOIN titles t USING (movie_id)
+      WHERE c.rn <= 5 * (c.customer_id % 12) AND 5 * (c.customer_id % 12) BETWEEN 1 AND 50""",
+        "rec_cand", "titles"),
+    "stream_rolling_rmse": sql("""
+      SELECT date AS day, CASE WHEN is_cold_user THEN 'cold' ELSE 'warm' END AS segment,
+             round(sqrt(avg((est - rating) * (est - rating))), 6) AS rmse, count(*) AS n
+      FROM scored GROUP BY 1, 2""", "scored"),
+})

@@ -17,6 +17,7 @@ from reelrank.operators.scoring import estimate_pairs
 from reelrank.session import scratch_path
 from reelrank.sources import blocktext
 from reelrank.sources import titles as titles_src
+from reelrank.streaming import jobs as sjobs
 from reelrank.operators.topk import popularity_topk, recommend_topk
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
                                    QUERY_RELIABLE_MIN_RATINGS, QUERY_SAMPLE_ROWS_FRACTION,
@@ -423,3 +424,64 @@ def model_roundtrip(spark, sf_dir):
     s = estimate_pairs(d.test, back, d.params.rating_scale, d.params.broadcast_limit_bytes)
     return s.select("customer_id", "movie_id", "rating", r6("est").alias("est"),
                     "user_known", "item_known")
+
+
+# --- streaming (S1–S3) ----------------------------------------------------------------
+
+@query
+def stream_rating_ingest(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "ingest")
+    blocktext.write_block_text(d.ratings, f"{base}/src", files=4)
+    sjobs.run_rating_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
+    return sjobs.read_ingested(spark, f"{base}/out")
+
+
+def request_rows(d: Derived) -> DataFrame:
+    """One request per test user; k = 5 * (customer_id % 12), so 0 and 55 are rejected."""
+    return d.test.select("customer_id").distinct().select(
+        F.col("customer_id").alias("request_id"), "customer_id",
+        (F.lit(5) * (F.col("customer_id") % 12)).cast("int").alias("k"))
+
+
+@query
+def stream_requests_topk(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "requests")
+    request_rows(d).repartition(3).write.parquet(f"{base}/src")
+    sjobs.run_request_stream(spark, f"{base}/src", f"{base}/out", f"{base}/rejects",
+                             f"{base}/ckpt", d.emb_model, d.ratings, titles=d.titles,
+                             scale=d.params.rating_scale, rank_digits=9)
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("request_id", "customer_id", "rank", "movie_id", "title",
+                      r6("score").alias("score"), r6("raw_score").alias("raw_score"), "segment")
+
+
+STREAM_ROWS_PER_FILE = 1_000_000
+
+
+@query
+def stream_rolling_rmse(spark, sf_dir):
+    """Test rows arrive as files in date order (each file ≤ 1M rows, one per batch)."""
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "rolling")
+    rows = d.test.select("customer_id", "movie_id", "rating",
+                         # UTC midnight of the date, independent of the session time zone
+                         F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400)
+                         .alias("ts"), "is_cold_user")
+    st = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"),
+                  F.count(F.lit(1)).alias("n")).first()
+    parts = max(4, -(-st["n"] // STREAM_ROWS_PER_FILE))
+    span = (st["hi"] - st["lo"]) / parts
+    for i in range(parts):                         # sequential writes: increasing mtimes
+        lo = st["lo"] + span * i
+        cond = F.col("ts") >= F.lit(lo)
+        if i < parts - 1:
+            cond &= F.col("ts") < F.lit(st["lo"] + span * (i + 1))
+        rows.filter(cond).repartition(1).write.parquet(f"{base}/src/{i:05d}")
+    sjobs.run_rolling_rmse(spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt", d.emb_model,
+                           d.params.rating_scale)
+    r = sjobs.read_rolling_rmse(spark, f"{base}/out")
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
+    return r.select(day.alias("day"), "segment",
+                    r6("rmse").alias("rmse"), "n")
