@@ -61,23 +61,29 @@ def bias_sweeps(r: DataFrame, mu: float, reg: float, sweeps: int,
 
     ``offset`` optionally supplies a per-rating term (column ``_o``) held fixed, e.g. the
     factor dot product in the final sweep. Returns (users, items) tables.
+
+    Each sweep is two aggregations over the ratings; the per-key results are small
+    (one row per user / item) and are cached as soon as they are built, so later sweeps
+    never recompute earlier ones. A lost cache block is rebuilt from lineage.
     """
     base = r if offset is None else offset
     if "_o" not in base.columns:
         base = base.withColumn("_o", F.lit(0.0))
     items = None
     shrink = 1.0 + reg
+    held = []
     for s in range(sweeps):
         with_u = (base.withColumn("b_u", F.lit(0.0)) if users is None
                   else base.join(users, "customer_id", "left"))
         items = (with_u.groupBy("movie_id")
                  .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_u", F.lit(0.0)) - F.col("_o"))
-                       / F.lit(shrink)).alias("b_i")))
+                       / F.lit(shrink)).alias("b_i"))).persist()
         users = (base.join(items, "movie_id", "left").groupBy("customer_id")
                  .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_i", F.lit(0.0)) - F.col("_o"))
-                       / F.lit(shrink)).alias("b_u")))
+                       / F.lit(shrink)).alias("b_u"))).persist()
+        held += [items, users]
         if sweeps > 3 and s % 3 == 2:          # keep the plan short on long runs
-            users, items = cut_lineage(users), cut_lineage(items)
+            users, items = cut_lineage(users, "bias-users"), cut_lineage(items, "bias-items")
     return users, items
 
 
@@ -97,7 +103,9 @@ def fit_biases(train: DataFrame, reg: float, sweeps: int = 2) -> BiasModel:
     r = _ratings(train)
     mu = r.agg(F.avg("r")).first()[0]
     users, items = bias_sweeps(r, mu, reg, sweeps)
-    return BiasModel(float(mu), users, items)
+    # both tables are read several times (scoring, counts, top-k): write them once
+    out = BiasModel(float(mu), cut_lineage(users, "bias-users"), cut_lineage(items, "bias-items"))
+    return out
 
 
 def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int = 10,

@@ -36,7 +36,7 @@ class Derived:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return tables.ratings(self.spark, self.sf_dir, cut=self.cut)
+        return tables.ratings(self.spark, self.sf_dir, cut=self.cut, base=self.ratings_all)
 
     @cached_property
     def titles(self) -> DataFrame:

@@ -52,7 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/reelrank-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
+
+    One job writes it (an eager RDD checkpoint would compute the input twice), the
+    lineage is cut, executor loss afterwards costs nothing, and later scans of the
+    table get column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

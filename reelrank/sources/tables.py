@@ -50,8 +50,9 @@ def fixture_cut(ratings_all_df: DataFrame):
     return nth_smallest(ratings_all_df, "date", quantile_position(n, CUT_FRACTION))
 
 
-def ratings(spark: SparkSession, sf_dir: str, cut=None) -> DataFrame:
-    base = ratings_all(spark, sf_dir)
+def ratings(spark: SparkSession, sf_dir: str, cut=None, base: DataFrame | None = None) -> DataFrame:
+    """``base`` is an already materialised ``ratings_all`` (derived here when omitted)."""
+    base = ratings_all(spark, sf_dir) if base is None else base
     if cut is None:
         cut = fixture_cut(base)
     late = (F.col("customer_id") % LATE_JOINER_MODULUS == 0) & (F.col("date") < F.lit(cut))
