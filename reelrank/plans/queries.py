@@ -182,9 +182,9 @@ def recommend_topk_q(spark, sf_dir):
 
 @query
 def recommend_topk_blocked(spark, sf_dir):
-    # The strategy used when the catalog is over the broadcast limit; small blocks so that
-    # several user and item blocks exist even on the test tables.
-    return _recs(spark, sf_dir, strategy="blocked", user_block=256, item_block=512)
+    # The strategy used when the catalog is over the broadcast limit; 4 x 3 blocks so that
+    # several user and item blocks exist at every scale of the test tables.
+    return _recs(spark, sf_dir, strategy="blocked", n_user_blocks=4, n_item_blocks=3)
 
 
 def popularity_topk_q(spark, sf_dir):
