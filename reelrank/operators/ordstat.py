@@ -34,14 +34,24 @@ def quantile_position(n: int, fraction: float) -> int:
     return int(n * fraction)
 
 
-def smallest_n(df: DataFrame, key: str, tie: str, n: int, prefix_chars: int = 4) -> DataFrame:
+def prefix_for(rows: int) -> int:
+    """Hex prefix length giving about sqrt(rows) buckets (so both the histogram and the
+    one bucket that is sorted stay near sqrt(rows) rows), between 4 and 7 characters."""
+    import math
+    return min(7, max(4, math.ceil(math.log(max(rows, 2), 16) / 2)))
+
+
+def smallest_n(df: DataFrame, key: str, tie: str, n: int, prefix_chars: int | None = None,
+               total_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` holding the ``n`` smallest ``(key, tie)`` pairs, exactly.
 
-    ``key`` is a hex string (e.g. an md5); its first ``prefix_chars`` characters give
-    16**prefix_chars buckets. ``(key, tie)`` must be unique per row.
+    ``key`` is a uniformly distributed hex string (an md5); its first ``prefix_chars``
+    characters give 16**prefix_chars buckets. ``(key, tie)`` must be unique per row.
     """
     if n <= 0:
         return df.filter(F.lit(False))
+    if prefix_chars is None:
+        prefix_chars = prefix_for(total_rows if total_rows is not None else n)
     bucket = F.substring(F.col(key), 1, prefix_chars)
     hist = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

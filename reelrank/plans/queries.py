@@ -69,11 +69,11 @@ def drop_report(spark, sf_dir):
 @query
 def temporal_cut(spark, sf_dir):
     d = Derived(spark, sf_dir)
-    n = d.ratings_all.count()
-    from reelrank.operators.ordstat import quantile_position
-    return spark.range(1).select(F.lit(n).cast("bigint").alias("n_rows"),
-                                 F.lit(quantile_position(n, 0.8)).cast("bigint").alias("cut_index"),
-                                 F.lit(d.cut).cast("date").alias("cut"))
+    n = F.count(F.lit(1))
+    return d.ratings_all.agg(n.alias("n_rows")).select(
+        "n_rows",
+        F.floor(F.col("n_rows") * F.lit(1 - d.params.test_size)).cast("bigint").alias("cut_index"),
+        F.lit(d.cut).cast("date").alias("cut"))
 
 
 @query
