@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.operators.ordstat import nth_smallest, quantile_position
+from reelrank.operators.skew import DEFAULT_MAX_ROWS_PER_KEY, skew_join
 
 
 def temporal_cut(df: DataFrame, test_size: float, date_col: str = "date"):
@@ -28,12 +29,16 @@ def temporal_split(df: DataFrame, test_size: float, cut=None, date_col: str = "d
 
 
 def flag_cold_users(test: DataFrame, full: DataFrame, cut, user_col: str = "customer_id",
-                    date_col: str = "date") -> DataFrame:
+                    date_col: str = "date",
+                    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
     """``is_cold_user``: the user has no row before the cut.
 
     ``min(date) >= cut`` per user is equivalent to "absent from train" and needs one
-    partial aggregation instead of a distinct + anti join.
+    partial aggregation instead of a distinct + anti join. The same aggregation counts the
+    user's rows, which bounds the user's test rows, so the join is skew-safe for free.
     """
-    first = full.groupBy(user_col).agg(F.min(date_col).alias("_first"))
-    return (test.join(first, user_col, "left")
-            .withColumn("is_cold_user", F.col("_first") >= F.lit(cut)).drop("_first"))
+    first = full.groupBy(user_col).agg(F.min(date_col).alias("_first"),
+                                       F.count(F.lit(1)).alias("_n"))
+    joined = skew_join(test, first.select(user_col, "_first"), user_col, "left",
+                       max_rows_per_key, counts=first.select(user_col, "_n"), count_col="_n")
+    return joined.withColumn("is_cold_user", F.col("_first") >= F.lit(cut)).drop("_first")

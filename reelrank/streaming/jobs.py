@@ -108,7 +108,7 @@ def run_rolling_rmse(spark: SparkSession, src_dir: str, out_dir: str, checkpoint
     """
     rows = (spark.readStream.schema(SCORED_SCHEMA)
             .option("maxFilesPerTrigger", files_per_batch).parquet(src_dir))
-    scored = estimate_pairs(rows, model, scale)
+    scored = estimate_pairs(rows, model, scale, max_rows_per_user=None)   # streaming: plain join
     se = (F.col("est") - F.col("rating").cast("double")) ** 2
     seg = F.when(F.col("is_cold_user"), "cold").otherwise("warm")
     agg = (scored.withWatermark("ts", watermark)
