@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.functions.columns import dot
-from reelrank.session import cut_lineage
+from reelrank.session import cut_lineage, ensure_checkpoint_dir
 
 INT_MAX = 2 ** 31 - 1
 
@@ -56,7 +56,8 @@ def _ratings(train: DataFrame) -> DataFrame:
 
 
 def bias_sweeps(r: DataFrame, mu: float, reg: float, sweeps: int,
-                users: DataFrame | None = None, offset: DataFrame | None = None):
+                users: DataFrame | None = None, offset: DataFrame | None = None,
+                item_stats: DataFrame | None = None):
     """Alternating closed-form bias sweeps. Items first (users start at 0).
 
     ``offset`` optionally supplies a per-rating term (column ``_o``) held fixed, e.g. the
@@ -73,11 +74,17 @@ def bias_sweeps(r: DataFrame, mu: float, reg: float, sweeps: int,
     shrink = 1.0 + reg
     held = []
     for s in range(sweeps):
-        with_u = (base.withColumn("b_u", F.lit(0.0)) if users is None
-                  else base.join(users, "customer_id", "left"))
-        items = (with_u.groupBy("movie_id")
-                 .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_u", F.lit(0.0)) - F.col("_o"))
-                       / F.lit(shrink)).alias("b_i"))).persist()
+        if s == 0 and users is None and offset is None and item_stats is not None:
+            # first sweep with b_u = 0 needs only per-item sums: no pass over the ratings
+            items = item_stats.select(
+                "movie_id", ((F.col("_s") / F.col("_c") - F.lit(mu)) / F.lit(shrink))
+                .alias("b_i")).persist()
+        else:
+            with_u = (base.withColumn("b_u", F.lit(0.0)) if users is None
+                      else base.join(users, "customer_id", "left"))
+            items = (with_u.groupBy("movie_id")
+                     .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_u", F.lit(0.0))
+                                 - F.col("_o")) / F.lit(shrink)).alias("b_i"))).persist()
         users = (base.join(items, "movie_id", "left").groupBy("customer_id")
                  .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_i", F.lit(0.0)) - F.col("_o"))
                        / F.lit(shrink)).alias("b_u"))).persist()
@@ -99,10 +106,24 @@ class BiasModel:
                        self.items.withColumn("q", F.lit(None).cast("array<double>")), rank=0)
 
 
+def item_sums(r: DataFrame) -> DataFrame:
+    """Per-item rating sum and count (cached): gives μ and the first item sweep."""
+    return r.groupBy("movie_id").agg(F.sum("r").alias("_s"),
+                                     F.count(F.lit(1)).alias("_c")).persist()
+
+
+def global_mean(stats: DataFrame) -> float:
+    row = stats.agg((F.sum("_s") / F.sum("_c")).alias("mu")).first()
+    if row is None or row["mu"] is None:
+        raise ValueError("cannot fit on an empty training set")
+    return float(row["mu"])
+
+
 def fit_biases(train: DataFrame, reg: float, sweeps: int = 2) -> BiasModel:
     r = _ratings(train)
-    mu = r.agg(F.avg("r")).first()[0]
-    users, items = bias_sweeps(r, mu, reg, sweeps)
+    stats = item_sums(r)
+    mu = global_mean(stats)
+    users, items = bias_sweeps(r, mu, reg, sweeps, item_stats=stats)
     # both tables are read several times (scoring, counts, top-k): write them once
     out = BiasModel(float(mu), cut_lineage(users, "bias-users"), cut_lineage(items, "bias-items"))
     return out
@@ -116,19 +137,22 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
 
     spark = train.sparkSession
     r = _ratings(train)
-    stats = r.agg(F.avg("r").alias("mu"), F.max("customer_id").alias("mu_id"),
-                  F.max("movie_id").alias("mi_id"), F.min("customer_id").alias("lu"),
-                  F.min("movie_id").alias("li"), F.count(F.lit(1)).alias("n")).first()
-    if max(stats["mu_id"], stats["mi_id"]) > INT_MAX or min(stats["lu"], stats["li"]) < 0:
+    ensure_checkpoint_dir(spark)                 # ALS checkpoints its factor RDDs there
+    sums = item_sums(r)
+    mu = global_mean(sums)
+    users, items = bias_sweeps(r, mu, reg, bias_sweep_count, item_stats=sums)
+    # id ranges and the rating count come from the small per-key tables (no extra pass)
+    ustat = users.agg(F.min("customer_id").alias("lo"), F.max("customer_id").alias("hi")).first()
+    istat = sums.agg(F.min("movie_id").alias("lo"), F.max("movie_id").alias("hi"),
+                     F.sum("_c").alias("n")).first()
+    if max(ustat["hi"], istat["hi"]) > INT_MAX or min(ustat["lo"], istat["lo"]) < 0:
         raise ValueError("ids exceed the INT range; map them with dense_index first")
-    mu = float(stats["mu"])
-    users, items = bias_sweeps(r, mu, reg, bias_sweep_count)
     resid = (r.join(users, "customer_id").join(items, "movie_id")
              .select(F.col("customer_id").cast("int").alias("u"),
                      F.col("movie_id").cast("int").alias("i"),
                      (F.col("r") - F.lit(mu) - F.col("b_u") - F.col("b_i")).alias("e")))
     if num_blocks is None:
-        num_blocks = max(spark.sparkContext.defaultParallelism, int(stats["n"] // 5_000_000) + 1)
+        num_blocks = max(spark.sparkContext.defaultParallelism, int(istat["n"] // 5_000_000) + 1)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="u", itemCol="i",
               ratingCol="e", nonnegative=False, implicitPrefs=False, seed=seed,
               numUserBlocks=num_blocks, numItemBlocks=num_blocks,

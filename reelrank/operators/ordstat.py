@@ -29,6 +29,23 @@ def nth_smallest(df: DataFrame, col: str, idx: int):
     return None if row is None else row["v"]
 
 
+def value_at_fraction(df: DataFrame, col: str, fraction: float):
+    """``sorted(df[col])[int(n * fraction)]`` in one job (n counted inside the histogram).
+
+    ``floor(n * fraction)`` is evaluated in double precision on the executors, exactly like
+    Python's ``int(n * fraction)``. Returns None for an empty input.
+    """
+    hist = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col(col).isNotNull())
+    upto = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy()
+    row = (hist.withColumn("_cum", F.sum("_n").over(upto))
+           .withColumn("_idx", F.floor(F.sum("_n").over(whole).cast("double")
+                                       * F.lit(float(fraction))))
+           .filter(F.col("_cum") > F.col("_idx"))
+           .agg(F.min(col).alias("v")).first())
+    return None if row is None else row["v"]
+
+
 def quantile_position(n: int, fraction: float) -> int:
     """``int(n * fraction)`` with Python float semantics (matches the original pipeline)."""
     return int(n * fraction)

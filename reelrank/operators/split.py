@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.operators.ordstat import nth_smallest, quantile_position
+from reelrank.operators.ordstat import value_at_fraction
 from reelrank.operators.skew import DEFAULT_MAX_ROWS_PER_KEY, skew_join
 
 
@@ -13,10 +13,10 @@ def temporal_cut(df: DataFrame, test_size: float, date_col: str = "date"):
     """Global cut date: value at index int(n*(1-test_size)) of the sorted dates."""
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test_size must be in (0, 1), got {test_size}")
-    n = df.count()
-    if n == 0:
+    cut = value_at_fraction(df, date_col, 1 - test_size)
+    if cut is None:
         raise ValueError("cannot split an empty table")
-    return nth_smallest(df, date_col, quantile_position(n, 1 - test_size))
+    return cut
 
 
 def temporal_split(df: DataFrame, test_size: float, cut=None, date_col: str = "date"):

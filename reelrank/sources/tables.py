@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.operators.ordstat import nth_smallest, quantile_position
+from reelrank.operators.ordstat import value_at_fraction
 
 RATING_COLS = ["customer_id", "movie_id", "rating", "date"]
 
@@ -46,8 +46,7 @@ def ratings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_cut(ratings_all_df: DataFrame):
     """Date at 0-based index int(n*0.8) of the sorted dates of ``ratings_all``."""
-    n = ratings_all_df.count()
-    return nth_smallest(ratings_all_df, "date", quantile_position(n, CUT_FRACTION))
+    return value_at_fraction(ratings_all_df, "date", CUT_FRACTION)
 
 
 def ratings(spark: SparkSession, sf_dir: str, cut=None, base: DataFrame | None = None) -> DataFrame:
