@@ -63,3 +63,31 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reelrank`` importable by Python workers (once per SparkContext).
+
+    The package is zipped on the driver and registered with ``addPyFile``; Spark then
+    distributes it to every executor, so it works whatever the driver's working directory.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import reelrank
+    root = os.path.dirname(os.path.abspath(reelrank.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="reelrank-pyfiles-"), "reelrank.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
