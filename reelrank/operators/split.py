@@ -28,17 +28,24 @@ def temporal_split(df: DataFrame, test_size: float, cut=None, date_col: str = "d
     return train, test, cut
 
 
+def user_stats(full: DataFrame, user_col: str = "customer_id",
+               date_col: str = "date") -> DataFrame:
+    """Per user: first date and row count, from one partial aggregation (cached; small)."""
+    return full.groupBy(user_col).agg(F.min(date_col).alias("_first"),
+                                      F.count(F.lit(1)).alias("_n")).persist()
+
+
 def flag_cold_users(test: DataFrame, full: DataFrame, cut, user_col: str = "customer_id",
                     date_col: str = "date",
-                    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
+                    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
+                    stats: DataFrame | None = None) -> DataFrame:
     """``is_cold_user``: the user has no row before the cut.
 
     ``min(date) >= cut`` per user is equivalent to "absent from train" and needs one
     partial aggregation instead of a distinct + anti join. The same aggregation counts the
     user's rows, which bounds the user's test rows, so the join is skew-safe for free.
     """
-    first = full.groupBy(user_col).agg(F.min(date_col).alias("_first"),
-                                       F.count(F.lit(1)).alias("_n"))
-    joined = skew_join(test, first.select(user_col, "_first"), user_col, "left",
-                       max_rows_per_key, counts=first.select(user_col, "_n"), count_col="_n")
+    stats = user_stats(full, user_col, date_col) if stats is None else stats
+    joined = skew_join(test, stats.select(user_col, "_first"), user_col, "left",
+                       max_rows_per_key, counts=stats.select(user_col, "_n"), count_col="_n")
     return joined.withColumn("is_cold_user", F.col("_first") >= F.lit(cut)).drop("_first")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelrank.config import Params
 from reelrank.operators.model import BiasModel, MFModel, fit_biases
-from reelrank.operators.split import flag_cold_users, temporal_split
+from reelrank.operators.split import flag_cold_users, temporal_split, user_stats
 from reelrank.session import cut_lineage
 from reelrank.sources import tables
 
@@ -42,10 +42,15 @@ class Derived:
     def titles(self) -> DataFrame:
         return tables.titles(self.spark, self.sf_dir)
 
+    @cached_property
+    def user_stats(self) -> DataFrame:
+        """customer_id, _first (first date), _n (row count) over all ratings; cached."""
+        return user_stats(self.ratings)
+
     @cached_property
     def split(self):
         train, test, cut = temporal_split(self.ratings, self.params.test_size, cut=self.cut)
-        return train, flag_cold_users(test, self.ratings, cut)
+        return train, flag_cold_users(test, self.ratings, cut, stats=self.user_stats)
 
     @property
     def train(self) -> DataFrame:

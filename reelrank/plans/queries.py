@@ -27,9 +27,16 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
 
-def query(fn: QueryFn) -> QueryFn:
-    REGISTRY[fn.__name__] = fn
-    return fn
+def query(name_or_fn=None):
+    """Register a query under its function name, or under ``@query("name")``."""
+    if callable(name_or_fn):
+        REGISTRY[name_or_fn.__name__] = name_or_fn
+        return name_or_fn
+
+    def deco(fn: QueryFn) -> QueryFn:
+        REGISTRY[name_or_fn or fn.__name__] = fn
+        return fn
+    return deco
 
 
 def r6(c):
@@ -112,9 +119,15 @@ def bias_model_users(spark, sf_dir):
     return Derived(spark, sf_dir).bias.users.select("customer_id", r6("b_u").alias("b_u"))
 
 
+def score(d: Derived, pairs: DataFrame, model) -> DataFrame:
+    """Pair scoring; each user's row count in the whole ratings table bounds its rows in
+    ``pairs``, so the skew-safe user join needs no counting pass of its own."""
+    return estimate_pairs(pairs, model, d.params.rating_scale, d.params.broadcast_limit_bytes,
+                          user_counts=d.user_stats.select("customer_id", "_n"))
+
+
 def scored_test(d: Derived) -> DataFrame:
-    return estimate_pairs(d.test, d.emb_model, d.params.rating_scale,
-                          d.params.broadcast_limit_bytes)
+    return score(d, d.test, d.emb_model)
 
 
 @query
@@ -176,7 +189,8 @@ def _recs(spark, sf_dir, **kw):
                        r6("raw_score").alias("raw_score"), "segment")
 
 
-def recommend_topk_q(spark, sf_dir):
+@query("recommend_topk")
+def recommend_topk_query(spark, sf_dir):
     return _recs(spark, sf_dir, strategy="broadcast")
 
 
@@ -187,7 +201,8 @@ def recommend_topk_blocked(spark, sf_dir):
     return _recs(spark, sf_dir, strategy="blocked", n_user_blocks=4, n_item_blocks=3)
 
 
-def popularity_topk_q(spark, sf_dir):
+@query("popularity_topk")
+def popularity_topk_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
     top = popularity_topk(d.emb_model, d.params.top_k, titles=d.titles,
                           scale=d.params.rating_scale, rank_digits=9)
@@ -195,10 +210,6 @@ def popularity_topk_q(spark, sf_dir):
                       r6("raw_score").alias("raw_score"))
 
 
-REGISTRY["recommend_topk"] = recommend_topk_q
-REGISTRY["popularity_topk"] = popularity_topk_q
-
-
 # --- profile (D3–D12, E5, F4, F5, F8, D19) -------------------------------------------
 
 @query
@@ -284,32 +295,27 @@ def seen_items(spark, sf_dir):
 
 # --- sampling and indexing (H1, H2, H6) ----------------------------------------------
 
-@query
-def sample_users_q(spark, sf_dir):
+@query("sample_users")
+def sample_users_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
     return sampling.sample_users(d.ratings, d.params.data_sample_fraction, d.params.seed)
 
 
-@query
-def sample_rows_q(spark, sf_dir):
+@query("sample_rows")
+def sample_rows_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
     return sampling.sample_rows(d.ratings, QUERY_SAMPLE_ROWS_FRACTION, d.params.seed)
 
 
-@query
-def dense_index_q(spark, sf_dir):
+@query("dense_index")
+def dense_index_query(spark, sf_dir):
     return sampling.dense_index(Derived(spark, sf_dir).ratings, "customer_id")
 
 
-REGISTRY["sample_users"] = REGISTRY.pop("sample_users_q")
-REGISTRY["sample_rows"] = REGISTRY.pop("sample_rows_q")
-REGISTRY["dense_index"] = REGISTRY.pop("dense_index_q")
-
-
 # --- text sources (A1–A7, E1) --------------------------------------------------------
 
-@query
-def parse_block_text_q(spark, sf_dir):
+@query("parse_block_text")
+def parse_block_text_query(spark, sf_dir):
     """Round trip: ratings → block text in the shared scratch area → parsed back."""
     d = Derived(spark, sf_dir)
     path = scratch_path(spark, "blocktext")
@@ -317,8 +323,8 @@ def parse_block_text_q(spark, sf_dir):
     return blocktext.parse_block_text(spark, path)
 
 
-@query
-def qualifying_users_q(spark, sf_dir):
+@query("qualifying_users")
+def qualifying_users_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
     path = scratch_path(spark, "qualifying")
     blocktext.write_block_text(d.test, path, files=3, with_rating=False)
@@ -342,10 +348,6 @@ def forward_fill_events(spark, sf_dir):
     return fill.forward_fill(ev, "value", ["ts", "event_id"], "filled_value")
 
 
-REGISTRY["parse_block_text"] = REGISTRY.pop("parse_block_text_q")
-REGISTRY["qualifying_users"] = REGISTRY.pop("qualifying_users_q")
-
-
 # --- full fit (H5, H15, D20, A12, H13) ----------------------------------------------
 
 QUERY_FIT_RANK = 10
@@ -365,7 +367,7 @@ def fit_mf(spark, sf_dir):
     """Metrics report of biases + ALS fitted on all training ratings (rows-only check)."""
     d = Derived(spark, sf_dir)
     model = _fitted(d)
-    scored = estimate_pairs(d.test, model, d.params.rating_scale, d.params.broadcast_limit_bytes)
+    scored = score(d, d.test, model)
     return metrics.metrics_report(scored, d.params.top_n, d.params.relevance_threshold,
                                   model_type="biased_mf_als")
 
@@ -374,9 +376,7 @@ def fit_mf(spark, sf_dir):
 def train_test_gap(spark, sf_dir):
     d = Derived(spark, sf_dir)
     model = _fitted(d)
-    lim = d.params.broadcast_limit_bytes
-    return metrics.train_test_gap(estimate_pairs(d.train, model, d.params.rating_scale, lim),
-                                  estimate_pairs(d.test, model, d.params.rating_scale, lim))
+    return metrics.train_test_gap(score(d, d.train, model), score(d, d.test, model))
 
 
 @query
@@ -396,9 +396,7 @@ def hyperparameter_sweep(spark, sf_dir):
         for reg in (0.02, 0.05):
             m = _fit(train, rank=rank, reg=reg, max_iter=QUERY_FIT_ITER,
                      bias_sweep_count=d.params.bias_sweeps, seed=d.params.seed)
-            lim = d.params.broadcast_limit_bytes
-            g = metrics.train_test_gap(estimate_pairs(train, m, d.params.rating_scale, lim),
-                                       estimate_pairs(test, m, d.params.rating_scale, lim))
+            g = metrics.train_test_gap(score(d, train, m), score(d, test, m))
             g = g.select(F.lit(rank).alias("n_factors"), F.lit(reg).alias("reg_all"), "*")
             out = g if out is None else out.unionByName(g)
     return out
@@ -421,7 +419,7 @@ def model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "model")
     save_model(d.emb_model, path)
     back = load_model(spark, path)
-    s = estimate_pairs(d.test, back, d.params.rating_scale, d.params.broadcast_limit_bytes)
+    s = score(d, d.test, back)
     return s.select("customer_id", "movie_id", "rating", r6("est").alias("est"),
                     "user_known", "item_known")
 
