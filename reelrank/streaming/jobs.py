@@ -104,7 +104,10 @@ def run_rolling_rmse(spark: SparkSession, src_dir: str, out_dir: str, checkpoint
                      watermark: str = "3 days", files_per_batch: int = 1) -> None:
     """Test ratings arriving as files → per (day, segment) RMSE, updated per micro-batch.
 
-    Rows older than the watermark are dropped; updated windows are upserted by batch.
+    Rows whose window ended before the watermark are dropped; Spark judges lateness
+    against the watermark of the previous micro-batch, so a row is dropped once the
+    stream has moved past it by more than the delay for a full batch. Updated windows
+    are upserted by batch.
     """
     rows = (spark.readStream.schema(SCORED_SCHEMA)
             .option("maxFilesPerTrigger", files_per_batch).parquet(src_dir))
