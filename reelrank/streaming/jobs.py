@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from reelrank.operators.model import MFModel
 from reelrank.operators.scoring import estimate_pairs
-from reelrank.operators.topk import recommend_topk
+from reelrank.operators.topk import recommend_topk, seen_sets_of
+from reelrank.session import cut_lineage
 from reelrank.sources.blocktext import parse_lines
 
 MAX_K = 50
+MAX_BROADCAST_USERS = 1_000_000
 
 
 def _batch_dir(out: str, batch_id: int) -> str:
@@ -73,6 +75,10 @@ def run_request_stream(spark: SparkSession, src_dir: str, out_dir: str, rejects_
     written to the rejects table. Unknown users are answered with the cold ranking."""
     req = (spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
            .parquet(src_dir))
+    # Seen sets are aggregated once for the whole stream (not per micro-batch), written
+    # sorted by user; each batch then only filters them down to its own users.
+    seen_all = cut_lineage(seen_sets_of(seen).repartitionByRange("customer_id")
+                           .sortWithinPartitions("customer_id"), "seen-sets")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
@@ -81,11 +87,17 @@ def run_request_stream(spark: SparkSession, src_dir: str, out_dir: str, rejects_
          .withColumn("reason", F.lit(f"k must be in 1..{MAX_K}"))
          .write.mode("overwrite").parquet(_batch_dir(rejects_dir, batch_id)))
         good = df.filter(ok)
-        kmax = good.agg(F.max("k")).first()[0]
-        if kmax is not None:
-            recs = recommend_topk(good.select("customer_id"), model, int(kmax),
-                                  seen_ratings=seen, titles=titles, scale=scale,
-                                  rank_digits=rank_digits)
+        st = good.agg(F.max("k").alias("kmax"),
+                      F.count_distinct("customer_id").alias("n_users")).first()
+        if st["kmax"] is not None:
+            batch_users = good.select("customer_id").distinct()
+            # a micro-batch is bounded by the trigger; its user set is broadcast only
+            # when its counted size allows
+            probe = (F.broadcast(batch_users) if st["n_users"] <= MAX_BROADCAST_USERS
+                     else batch_users)
+            seen_b = seen_all.join(probe, "customer_id", "left_semi")
+            recs = recommend_topk(batch_users, model, int(st["kmax"]), seen_sets=seen_b,
+                                  titles=titles, scale=scale, rank_digits=rank_digits)
             (good.join(recs, "customer_id").filter(F.col("rank") <= F.col("k"))
              .drop("k").write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id)))
         df.unpersist()
