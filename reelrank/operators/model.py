@@ -57,7 +57,7 @@ def _ratings(train: DataFrame) -> DataFrame:
 
 def bias_sweeps(r: DataFrame, mu: float, reg: float, sweeps: int,
                 users: DataFrame | None = None, offset: DataFrame | None = None,
-                item_stats: DataFrame | None = None):
+                item_stats: DataFrame | None = None, held: list | None = None):
     """Alternating closed-form bias sweeps. Items first (users start at 0).
 
     ``offset`` optionally supplies a per-rating term (column ``_o``) held fixed, e.g. the
@@ -65,14 +65,15 @@ def bias_sweeps(r: DataFrame, mu: float, reg: float, sweeps: int,
 
     Each sweep is two aggregations over the ratings; the per-key results are small
     (one row per user / item) and are cached as soon as they are built, so later sweeps
-    never recompute earlier ones. A lost cache block is rebuilt from lineage.
+    never recompute earlier ones. A lost cache block is rebuilt from lineage. The cached
+    frames are appended to ``held`` so the caller can release them when done.
     """
     base = r if offset is None else offset
     if "_o" not in base.columns:
         base = base.withColumn("_o", F.lit(0.0))
     items = None
     shrink = 1.0 + reg
-    held = []
+    held = [] if held is None else held
     for s in range(sweeps):
         if s == 0 and users is None and offset is None and item_stats is not None:
             # first sweep with b_u = 0 needs only per-item sums: no pass over the ratings
@@ -123,9 +124,12 @@ def fit_biases(train: DataFrame, reg: float, sweeps: int = 2) -> BiasModel:
     r = _ratings(train)
     stats = item_sums(r)
     mu = global_mean(stats)
-    users, items = bias_sweeps(r, mu, reg, sweeps, item_stats=stats)
+    held = [stats]
+    users, items = bias_sweeps(r, mu, reg, sweeps, item_stats=stats, held=held)
     # both tables are read several times (scoring, counts, top-k): write them once
     out = BiasModel(float(mu), cut_lineage(users, "bias-users"), cut_lineage(items, "bias-items"))
+    for h in held:
+        h.unpersist()
     return out
 
 
@@ -140,7 +144,8 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
     ensure_checkpoint_dir(spark)                 # ALS checkpoints its factor RDDs there
     sums = item_sums(r)
     mu = global_mean(sums)
-    users, items = bias_sweeps(r, mu, reg, bias_sweep_count, item_stats=sums)
+    held = [sums]
+    users, items = bias_sweeps(r, mu, reg, bias_sweep_count, item_stats=sums, held=held)
     # id ranges and the rating count come from the small per-key tables (no extra pass)
     ustat = users.agg(F.min("customer_id").alias("lo"), F.max("customer_id").alias("hi")).first()
     istat = sums.agg(F.min("movie_id").alias("lo"), F.max("movie_id").alias("hi"),
@@ -166,9 +171,11 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
         with_pq = (r.join(uf, "customer_id", "left").join(itf, "movie_id", "left")
                    .withColumn("_o", F.coalesce(dot("p", "q"), F.lit(0.0)))
                    .select("customer_id", "movie_id", "r", "_o"))
-        users, items = bias_sweeps(r, mu, reg, 1, users=users, offset=with_pq)
+        users, items = bias_sweeps(r, mu, reg, 1, users=users, offset=with_pq, held=held)
     user_tab = cut_lineage(users.join(uf, "customer_id", "left"))
     item_tab = cut_lineage(items.join(itf, "movie_id", "left"))
+    for h in held:
+        h.unpersist()
     return MFModel(mu, user_tab, item_tab, rank=rank, n_users=user_tab.count(),
                    n_items=item_tab.count(),
                    params={"rank": rank, "reg": reg, "max_iter": max_iter, "seed": seed,

@@ -33,7 +33,9 @@ def value_at_fraction(df: DataFrame, col: str, fraction: float):
     """``sorted(df[col])[int(n * fraction)]`` in one job (n counted inside the histogram).
 
     ``floor(n * fraction)`` is evaluated in double precision on the executors, exactly like
-    Python's ``int(n * fraction)``. Returns None for an empty input.
+    Python's ``int(n * fraction)``. Returns None for an empty input. Like
+    ``nth_smallest`` it is meant for low-cardinality columns (dates): the cumulative
+    window runs over the histogram, one row per distinct value.
     """
     hist = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col(col).isNotNull())
     upto = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)

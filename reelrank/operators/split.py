@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators.ordstat import value_at_fraction
 from reelrank.operators.skew import DEFAULT_MAX_ROWS_PER_KEY, skew_join
+from reelrank.session import cut_lineage
 
 
 def temporal_cut(df: DataFrame, test_size: float, date_col: str = "date"):
@@ -30,9 +31,10 @@ def temporal_split(df: DataFrame, test_size: float, cut=None, date_col: str = "d
 
 def user_stats(full: DataFrame, user_col: str = "customer_id",
                date_col: str = "date") -> DataFrame:
-    """Per user: first date and row count, from one partial aggregation (cached; small)."""
-    return full.groupBy(user_col).agg(F.min(date_col).alias("_first"),
-                                      F.count(F.lit(1)).alias("_n")).persist()
+    """Per user: first date and row count, from one partial aggregation, written once to
+    the shared checkpoint folder (read by the cold flag and by the scoring join)."""
+    return cut_lineage(full.groupBy(user_col).agg(F.min(date_col).alias("_first"),
+                                                  F.count(F.lit(1)).alias("_n")), "user-stats")
 
 
 def flag_cold_users(test: DataFrame, full: DataFrame, cut, user_col: str = "customer_id",

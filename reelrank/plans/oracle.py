@@ -402,3 +402,18 @@ ORACLE.update({
              round(sqrt(avg((est - rating) * (est - rating))), 6) AS rmse, count(*) AS n
       FROM scored GROUP BY 1, 2""", "scored"),
 })
+
+cte("scored_train", """
+  SELECT t.customer_id, t.movie_id, t.rating,
+         least(greatest(mu.mu + coalesce(uf.b_u, 0) + coalesce(itf.b_i, 0)
+                        + CASE WHEN uf.p IS NOT NULL AND itf.q IS NOT NULL
+                               THEN list_dot_product(uf.p, itf.q) ELSE 0 END,
+                        CAST(1.0 AS DOUBLE)), CAST(5.0 AS DOUBLE)) AS est
+  FROM train t CROSS JOIN mu LEFT JOIN uf USING (customer_id) LEFT JOIN itf USING (movie_id)""",
+    "train", "mu", "uf", "itf")
+ORACLE["train_test_gap_fixed_model"] = sql("""
+  SELECT round(a.train_rmse, 6) AS train_rmse, round(b.test_rmse, 6) AS test_rmse,
+         round(b.test_rmse - a.train_rmse, 6) AS gap
+  FROM (SELECT sqrt(avg((est - rating) * (est - rating))) AS train_rmse FROM scored_train) a
+  CROSS JOIN (SELECT sqrt(avg((est - rating) * (est - rating))) AS test_rmse FROM scored) b""",
+    "scored_train", "scored")

@@ -389,7 +389,7 @@ def hyperparameter_sweep(spark, sf_dir):
     d = Derived(spark, sf_dir)
     sample = sampling.sample_users(d.ratings, QUERY_SWEEP_SAMPLE_FRACTION, d.params.seed)
     from reelrank.operators.split import temporal_split
-    train, test, _ = temporal_split(sample, d.params.test_size, cut=d.cut)
+    train, test, _ = temporal_split(sample, d.params.test_size)   # the sample's own cut
     out = None
     from reelrank.operators.model import fit_mf as _fit
     for rank in (5, 10):
@@ -483,3 +483,11 @@ def stream_rolling_rmse(spark, sf_dir):
     day = F.date_from_unix_date(F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
     return r.select(day.alias("day"), "segment",
                     r6("rmse").alias("rmse"), "n")
+
+
+@query
+def train_test_gap_fixed_model(spark, sf_dir):
+    """D20 on the SQL-checkable factor model: RMSE on train rows, on test rows, the gap."""
+    d = Derived(spark, sf_dir)
+    g = metrics.train_test_gap(score(d, d.train, d.emb_model), score(d, d.test, d.emb_model))
+    return g.select(*(r6(c).alias(c) for c in ("train_rmse", "test_rmse", "gap")))
