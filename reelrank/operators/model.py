@@ -136,7 +136,7 @@ def fit_biases(train: DataFrame, reg: float, sweeps: int = 2) -> BiasModel:
 def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int = 10,
            bias_sweep_count: int = 2, seed: int = 42, final_bias_sweep: bool = True,
            num_blocks: int | None = None, checkpoint_interval: int = 5) -> MFModel:
-    """Biases by closed form, factors by ALS on the residual. Ids must fit in INT."""
+    """Biases by closed form, factors by ALS on the residual (any BIGINT ids)."""
     from pyspark.ml.recommendation import ALS
 
     spark = train.sparkSession
@@ -150,11 +150,19 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
     ustat = users.agg(F.min("customer_id").alias("lo"), F.max("customer_id").alias("hi")).first()
     istat = sums.agg(F.min("movie_id").alias("lo"), F.max("movie_id").alias("hi"),
                      F.sum("_c").alias("n")).first()
-    if max(ustat["hi"], istat["hi"]) > INT_MAX or min(ustat["lo"], istat["lo"]) < 0:
-        raise ValueError("ids exceed the INT range; map them with dense_index first")
-    resid = (r.join(users, "customer_id").join(items, "movie_id")
-             .select(F.col("customer_id").cast("int").alias("u"),
-                     F.col("movie_id").cast("int").alias("i"),
+    # MLlib ALS takes INT ids: ids outside that range are mapped to dense 0..n-1 indexes
+    # (distributed, no driver-side map) and the factors are joined back to raw ids.
+    remap = max(ustat["hi"], istat["hi"]) > INT_MAX or min(ustat["lo"], istat["lo"]) < 0
+    if remap:
+        from reelrank.operators.sampling import dense_index
+        uidx = dense_index(users, "customer_id", "_u")
+        iidx = dense_index(items, "movie_id", "_i")
+        users_k, items_k = users.join(uidx, "customer_id"), items.join(iidx, "movie_id")
+    else:
+        users_k = users.withColumn("_u", F.col("customer_id"))
+        items_k = items.withColumn("_i", F.col("movie_id"))
+    resid = (r.join(users_k, "customer_id").join(items_k, "movie_id")
+             .select(F.col("_u").cast("int").alias("u"), F.col("_i").cast("int").alias("i"),
                      (F.col("r") - F.lit(mu) - F.col("b_u") - F.col("b_i")).alias("e")))
     if num_blocks is None:
         num_blocks = max(spark.sparkContext.defaultParallelism, int(istat["n"] // 5_000_000) + 1)
@@ -167,6 +175,11 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
                                    F.col("features").cast("array<double>").alias("p"))
     itf = fitted.itemFactors.select(F.col("id").cast("bigint").alias("movie_id"),
                                     F.col("features").cast("array<double>").alias("q"))
+    if remap:
+        uf = (uf.withColumnRenamed("customer_id", "_u").join(uidx, "_u")
+              .select("customer_id", "p"))
+        itf = (itf.withColumnRenamed("movie_id", "_i").join(iidx, "_i")
+               .select("movie_id", "q"))
     if final_bias_sweep:
         with_pq = (r.join(uf, "customer_id", "left").join(itf, "movie_id", "left")
                    .withColumn("_o", F.coalesce(dot("p", "q"), F.lit(0.0)))

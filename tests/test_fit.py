@@ -61,3 +61,15 @@ def test_model_tables_round_trip(spark, tiny_model, tmp_path):
     a = estimate_pairs(pairs, tiny_model).orderBy("customer_id", "movie_id").collect()
     b = estimate_pairs(pairs, back).orderBy("customer_id", "movie_id").collect()
     assert [r.est for r in a] == [r.est for r in b]
+
+
+def test_fit_with_ids_beyond_int_range(spark, planted):
+    train, test = planted
+    shift = lambda df: (df.withColumn("customer_id", F.col("customer_id") + (1 << 40))
+                        .withColumn("movie_id", F.col("movie_id") + (3 << 33)))
+    tr, te = shift(train), shift(test)
+    bias = fit_biases(tr, 0.05, 3).as_mf()
+    mf = fit_mf(tr, rank=3, reg=0.05, max_iter=10, seed=42)
+    assert mf.user_factors.filter(F.col("p").isNull()).count() == 0
+    b, m = _rmse(estimate_pairs(te, bias)), _rmse(estimate_pairs(te, mf))
+    assert m < 0.6 * b, (m, b)
