@@ -57,41 +57,39 @@ def _ratings(train: DataFrame) -> DataFrame:
 
 def bias_sweeps(r: DataFrame, mu: float, reg: float, sweeps: int,
                 users: DataFrame | None = None, offset: DataFrame | None = None,
-                item_stats: DataFrame | None = None, held: list | None = None):
+                item_stats: DataFrame | None = None):
     """Alternating closed-form bias sweeps. Items first (users start at 0).
 
     ``offset`` optionally supplies a per-rating term (column ``_o``) held fixed, e.g. the
     factor dot product in the final sweep. Returns (users, items) tables.
 
-    Each sweep is two aggregations over the ratings; the per-key results are small
-    (one row per user / item) and are cached as soon as they are built, so later sweeps
-    never recompute earlier ones. A lost cache block is rebuilt from lineage. The cached
-    frames are appended to ``held`` so the caller can release them when done.
+    Each sweep is two aggregations over the ratings; the per-key results (one row per
+    user / item) are written to the shared checkpoint folder as soon as they are built,
+    so later sweeps never recompute earlier ones, nothing is pinned in executor memory,
+    and AQE sizes the output like any other shuffle.
     """
     base = r if offset is None else offset
     if "_o" not in base.columns:
         base = base.withColumn("_o", F.lit(0.0))
     items = None
     shrink = 1.0 + reg
-    held = [] if held is None else held
     for s in range(sweeps):
         if s == 0 and users is None and offset is None and item_stats is not None:
             # first sweep with b_u = 0 needs only per-item sums: no pass over the ratings
-            items = item_stats.select(
+            items = cut_lineage(item_stats.select(
                 "movie_id", ((F.col("_s") / F.col("_c") - F.lit(mu)) / F.lit(shrink))
-                .alias("b_i")).persist()
+                .alias("b_i")), "bias-items")
         else:
             with_u = (base.withColumn("b_u", F.lit(0.0)) if users is None
                       else base.join(users, "customer_id", "left"))
-            items = (with_u.groupBy("movie_id")
-                     .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_u", F.lit(0.0))
-                                 - F.col("_o")) / F.lit(shrink)).alias("b_i"))).persist()
-        users = (base.join(items, "movie_id", "left").groupBy("customer_id")
-                 .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_i", F.lit(0.0)) - F.col("_o"))
-                       / F.lit(shrink)).alias("b_u"))).persist()
-        held += [items, users]
-        if sweeps > 3 and s % 3 == 2:          # keep the plan short on long runs
-            users, items = cut_lineage(users, "bias-users"), cut_lineage(items, "bias-items")
+            items = cut_lineage(with_u.groupBy("movie_id")
+                                .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_u", F.lit(0.0))
+                                            - F.col("_o")) / F.lit(shrink)).alias("b_i")),
+                                "bias-items")
+        users = cut_lineage(base.join(items, "movie_id", "left").groupBy("customer_id")
+                            .agg((F.avg(F.col("r") - F.lit(mu) - F.coalesce("b_i", F.lit(0.0))
+                                        - F.col("_o")) / F.lit(shrink)).alias("b_u")),
+                            "bias-users")
     return users, items
 
 
@@ -108,9 +106,9 @@ class BiasModel:
 
 
 def item_sums(r: DataFrame) -> DataFrame:
-    """Per-item rating sum and count (cached): gives μ and the first item sweep."""
-    return r.groupBy("movie_id").agg(F.sum("r").alias("_s"),
-                                     F.count(F.lit(1)).alias("_c")).persist()
+    """Per-item rating sum and count (written once): gives μ and the first item sweep."""
+    return cut_lineage(r.groupBy("movie_id").agg(F.sum("r").alias("_s"),
+                                                 F.count(F.lit(1)).alias("_c")), "item-sums")
 
 
 def global_mean(stats: DataFrame) -> float:
@@ -124,13 +122,8 @@ def fit_biases(train: DataFrame, reg: float, sweeps: int = 2) -> BiasModel:
     r = _ratings(train)
     stats = item_sums(r)
     mu = global_mean(stats)
-    held = [stats]
-    users, items = bias_sweeps(r, mu, reg, sweeps, item_stats=stats, held=held)
-    # both tables are read several times (scoring, counts, top-k): write them once
-    out = BiasModel(float(mu), cut_lineage(users, "bias-users"), cut_lineage(items, "bias-items"))
-    for h in held:
-        h.unpersist()
-    return out
+    users, items = bias_sweeps(r, mu, reg, sweeps, item_stats=stats)   # written tables
+    return BiasModel(float(mu), users, items)
 
 
 def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int = 10,
@@ -144,8 +137,7 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
     ensure_checkpoint_dir(spark)                 # ALS checkpoints its factor RDDs there
     sums = item_sums(r)
     mu = global_mean(sums)
-    held = [sums]
-    users, items = bias_sweeps(r, mu, reg, bias_sweep_count, item_stats=sums, held=held)
+    users, items = bias_sweeps(r, mu, reg, bias_sweep_count, item_stats=sums)
     # id ranges and the rating count come from the small per-key tables (no extra pass)
     ustat = users.agg(F.min("customer_id").alias("lo"), F.max("customer_id").alias("hi")).first()
     istat = sums.agg(F.min("movie_id").alias("lo"), F.max("movie_id").alias("hi"),
@@ -184,11 +176,9 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
         with_pq = (r.join(uf, "customer_id", "left").join(itf, "movie_id", "left")
                    .withColumn("_o", F.coalesce(dot("p", "q"), F.lit(0.0)))
                    .select("customer_id", "movie_id", "r", "_o"))
-        users, items = bias_sweeps(r, mu, reg, 1, users=users, offset=with_pq, held=held)
+        users, items = bias_sweeps(r, mu, reg, 1, users=users, offset=with_pq)
     user_tab = cut_lineage(users.join(uf, "customer_id", "left"))
     item_tab = cut_lineage(items.join(itf, "movie_id", "left"))
-    for h in held:
-        h.unpersist()
     return MFModel(mu, user_tab, item_tab, rank=rank, n_users=user_tab.count(),
                    n_items=item_tab.count(),
                    params={"rank": rank, "reg": reg, "max_iter": max_iter, "seed": seed,

@@ -478,7 +478,8 @@ def stream_rolling_rmse(spark, sf_dir):
             cond &= F.col("ts") < F.lit(st["lo"] + span * (i + 1))
         rows.filter(cond).repartition(1).write.parquet(f"{base}/src/{i:05d}")
     sjobs.run_rolling_rmse(spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt", d.emb_model,
-                           d.params.rating_scale)
+                           d.params.rating_scale,
+                           state_partitions=spark.sparkContext.defaultParallelism)
     r = sjobs.read_rolling_rmse(spark, f"{base}/out")
     day = F.date_from_unix_date(F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
     return r.select(day.alias("day"), "segment",

@@ -113,7 +113,8 @@ SCORED_SCHEMA = ("customer_id long, movie_id long, rating float, ts timestamp, "
 
 def run_rolling_rmse(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
                      model: MFModel, scale=(1.0, 5.0), window: str = "1 day",
-                     watermark: str = "3 days", files_per_batch: int = 1) -> None:
+                     watermark: str = "3 days", files_per_batch: int = 1,
+                     state_partitions: int | None = None) -> None:
     """Test ratings arriving as files → per (day, segment) RMSE, updated per micro-batch.
 
     Rows whose window ended before the watermark are dropped; Spark judges lateness
@@ -135,7 +136,15 @@ def run_rolling_rmse(spark: SparkSession, src_dir: str, out_dir: str, checkpoint
                    "segment", "sse", "n", F.lit(batch_id).cast("bigint").alias("_batch"))
          .write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id)))
 
-    _run(agg.writeStream.outputMode("update").foreachBatch(batch), checkpoint)
+    # The state store has one partition per shuffle partition, fixed when the query first
+    # starts; the state here is one row per (window, segment), so it may be sized down.
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        _run(agg.writeStream.outputMode("update").foreachBatch(batch), checkpoint)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def read_rolling_rmse(spark: SparkSession, out_dir: str) -> DataFrame:
