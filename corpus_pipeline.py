@@ -21,6 +21,8 @@ from reelrank.session import cut_lineage
 
 # The mixture keeps up to this share of the tokens that reach it.
 PIPELINE_BUDGET_SHARE = 0.8
+# Documents whose two best languages score closer than this are rejected.
+PIPELINE_MIN_GAP = 0.05
 
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: not ``und``, and not ambiguous between two languages."""
     learn = docs.where(F.col("lang").isNotNull() & (id_remainder("doc_id", 5) != 0))
-    judged = identify(docs, learn)
+    judged = identify(docs, learn, min_gap=PIPELINE_MIN_GAP)
     bad = cut_lineage(judged.where((F.col("lang_pred") == "und") | F.col("ambiguous"))
                       .select(F.col("doc_id").alias("_id")).distinct(), "no-language-ids")
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
