@@ -81,19 +81,21 @@ def reply_trees(nodes: DataFrame) -> DataFrame:
     ``_up`` is null at a root. Every round doubles the distance that a pointer spans, so the
     rounds grow with the logarithm of the longest chain of replies.
     """
-    now = cut_lineage(nodes.select("_t", "_o", F.coalesce("_up", "_o").alias("_root"),
-                                   F.when(F.col("_up").isNull(), 0).otherwise(1).cast("long")
-                                   .alias("_depth")), "reply-pointers")
-    while True:
+    now = cut_lineage(nodes.select(
+        "_t", "_o", F.coalesce("_up", "_o").alias("_root"),
+        F.when(F.col("_up").isNull(), 0).otherwise(1).cast("long").alias("_depth"),
+        F.col("_up").isNull().alias("_done")), "reply-pointers")
+    while now.where("NOT _done").limit(1).count():
         above = now.select(F.col("_t").alias("_at"), F.col("_o").alias("_ao"),
                            F.col("_root").alias("_aroot"), F.col("_depth").alias("_adepth"))
-        now = cut_lineage(
-            now.join(above, (F.col("_t") == F.col("_at")) & (F.col("_root") == F.col("_ao")))
-            .select("_t", "_o", F.col("_aroot").alias("_root"),
-                    (F.col("_depth") + F.col("_adepth")).alias("_depth"),
-                    F.col("_adepth").alias("_step")), "reply-pointers")
-        if not (now.agg(F.max("_step")).first()[0] or 0):
-            return now.drop("_step")
+        # Pointers that have reached a root take no further part.
+        moved = now.where("NOT _done").join(
+            above, (F.col("_t") == F.col("_at")) & (F.col("_root") == F.col("_ao"))).select(
+                "_t", "_o", F.col("_aroot").alias("_root"),
+                (F.col("_depth") + F.col("_adepth")).alias("_depth"),
+                (F.col("_adepth") == 0).alias("_done"))
+        now = cut_lineage(now.where("_done").unionByName(moved), "reply-pointers")
+    return now.drop("_done")
 
 
 def reply_order(tree: DataFrame) -> DataFrame:
