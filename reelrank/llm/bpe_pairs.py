@@ -25,8 +25,11 @@ PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}
 # A text may be cut before a single space between two other characters: no pretoken spans it.
 CUT = r"(?<=\P{White_Space})(?= \P{White_Space})"
 
-SLICE_CHARS = 1_000_000
-CACHE_WORDS = 400_000
+SLICE_CHARS = 2_000_000
+# Ranks below this are applied to all their positions as arrays, the others one by one.
+LONG_LISTS = 500
+# Pretokens that a worker remembers (about 200 bytes each).
+CACHE_WORDS = 1_000_000
 
 
 def _byte_symbols() -> dict[str, int]:
@@ -74,6 +77,8 @@ class BpeTables:
 
 def merge_words(words: list[bytes], t: BpeTables) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all ``words`` in one array, and how many each word has."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     raw = np.frombuffer(b"".join(words), np.uint8)
     # One symbol per byte, with a -1 before, between and after the words.
@@ -86,24 +91,66 @@ def merge_words(words: list[bytes], t: BpeTables) -> tuple[np.ndarray, np.ndarra
     hit = np.flatnonzero((symbols[:-1] >= 0) & (symbols[1:] >= 0) & (t.keys[place] == pair)) \
         if len(t.keys) else np.zeros(0, np.int64)
     rank = t.key_ranks[place[hit]] if len(hit) else hit
-    order = np.argsort(rank, kind="stable")
-    hit, rank = hit[order], rank[order]
-    edges = np.flatnonzero(np.diff(rank)) + 1
-    index: dict[int, list[int]] = {}
-    for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(rank)], strict=True):
-        if hi > lo:
-            index[int(rank[lo])] = hit[lo:hi].tolist()
-    active = list(index)
+    # The index: positions of each rank, as a list of arrays.
+    index: list[list | None] = [None] * len(t.new)
+
+    def post(rank: np.ndarray, place: np.ndarray) -> int:
+        """Add positions to the lists of their ranks; returns the least rank."""
+        order = np.argsort(rank, kind="stable")
+        rank, place = rank[order], place[order]
+        edges = (np.flatnonzero(np.diff(rank)) + 1).tolist()
+        for lo, hi in zip([0, *edges], [*edges, len(rank)], strict=True):
+            r = int(rank[lo])
+            if index[r] is None:
+                index[r] = [place[lo:hi]]
+            else:
+                index[r].append(place[lo:hi])
+        return int(rank[0])
+
+    if len(hit):
+        post(rank, hit)
+    nxt = np.arange(1, len(symbols) + 1)
+    prv = np.arange(-1, len(symbols) - 1)
+    r = 0
+    # Low ranks have long lists: each is applied to all its positions at once.
+    while r < min(LONG_LISTS, len(index)):
+        if index[r] is None:
+            r += 1
+            continue
+        p = np.unique(np.concatenate(index[r]))
+        index[r] = None
+        a, b, c = t.left[r], t.right[r], t.new[r]
+        p = p[symbols[p] == a]
+        q = nxt[p]
+        live = symbols[q] == b
+        p, q = p[live], q[live]
+        if a == b and len(p):       # overlapping pairs: every other one of a run, from the left
+            begins = np.concatenate([[True], p[1:] != q[:-1]])
+            first = np.maximum.accumulate(np.where(begins, np.arange(len(p)), 0))
+            even = (np.arange(len(p)) - first) % 2 == 0
+            p, q = p[even], q[even]
+        n = nxt[q]
+        symbols[p], symbols[q] = c, -2
+        nxt[p], prv[n] = n, p
+        m = prv[p]
+        keys = np.concatenate([symbols[m] << 20 | c, c << 20 | symbols[n]])
+        at = np.concatenate([m, p])
+        place = np.minimum(np.searchsorted(t.keys, keys), len(t.keys) - 1)
+        found = (t.keys[place] == keys) & np.concatenate([symbols[m] >= 0, symbols[n] >= 0])
+        r += 1
+        if found.any():
+            r = min(r, post(t.key_ranks[place[found]], at[found]))
+
+    active = [r for r, own in enumerate(index) if own]
+    for r in active:
+        index[r] = np.concatenate(index[r]).tolist()
     heapq.heapify(active)
-
-    sym = symbols.tolist()
-    nxt = list(range(1, len(sym) + 1))
-    prv = list(range(-1, len(sym) - 1))
+    sym, nxt, prv = symbols.tolist(), nxt.tolist(), prv.tolist()
     ranks, left, right, new = t.ranks, t.left, t.right, t.new
     while active:
         r = heapq.heappop(active)
         a, b, c = left[r], right[r], new[r]
-        places = index.pop(r)
+        places, index[r] = index[r], None
         places.sort()
         for p in places:
             if sym[p] != a:
@@ -115,19 +162,19 @@ def merge_words(words: list[bytes], t: BpeTables) -> tuple[np.ndarray, np.ndarra
             sym[p], sym[q] = c, -2
             nxt[p] = n
             prv[n] = p
-            if sym[n] >= 0 and (k := ranks.get(c << 20 | sym[n])) is not None:
-                if k in index:
-                    index[k].append(p)
-                else:
+            if (y := sym[n]) >= 0 and (k := ranks.get(c << 20 | y)) is not None:
+                if (own := index[k]) is None:
                     index[k] = [p]
                     heapq.heappush(active, k)
-            m = prv[p]
-            if sym[m] >= 0 and (k := ranks.get(sym[m] << 20 | c)) is not None:
-                if k in index:
-                    index[k].append(m)
                 else:
+                    own.append(p)
+            m = prv[p]
+            if (y := sym[m]) >= 0 and (k := ranks.get(y << 20 | c)) is not None:
+                if (own := index[k]) is None:
                     index[k] = [m]
                     heapq.heappush(active, k)
+                else:
+                    own.append(m)
     done = np.array(sym, np.int64)
     word_of = np.cumsum(done == -1)
     live = done >= 0
@@ -232,7 +279,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
     ``tokenizer`` names a byte-level BPE file on the driver. Its special tokens are matched
     in the text. Null texts count as empty and have no ids. Repeated rows are each encoded;
     an empty table gives no rows; other columns are not read. There is no shuffle: a task
-    holds one slice of about a million characters (or one longer text) at a time.
+    holds one slice of about two million characters (or one longer text) at a time.
     """
     spark = docs.sparkSession
     ship_package(spark)
