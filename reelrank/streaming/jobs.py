@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from reelrank.operators.model import MFModel
 from reelrank.operators.scoring import estimate_pairs
-from reelrank.operators.topk import recommend_topk, seen_sets_of
-from reelrank.session import cut_lineage
+from reelrank.operators.topk import ItemBlocks, recommend_topk, seen_sets_of
+from reelrank.session import scratch_path
 from reelrank.sources.blocktext import parse_lines
 
 MAX_K = 50
+SEEN_FOLDERS = 64
 MAX_BROADCAST_USERS = 1_000_000
 
 
@@ -70,15 +71,21 @@ REQUEST_SCHEMA = "request_id long, customer_id long, k int"
 def run_request_stream(spark: SparkSession, src_dir: str, out_dir: str, rejects_dir: str,
                        checkpoint: str, model: MFModel, seen: DataFrame,
                        titles: DataFrame | None = None, scale=(1.0, 5.0),
-                       rank_digits: int | None = None, files_per_batch: int = 1) -> None:
+                       rank_digits: int | None = None, files_per_batch: int = 1,
+                       limit_bytes: int = 256 << 20) -> None:
     """Request rows (request_id, customer_id, k) → top-k per request; k outside 1..50 is
     written to the rejects table. Unknown users are answered with the cold ranking."""
     req = (spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
            .parquet(src_dir))
-    # Seen sets are aggregated once for the whole stream (not per micro-batch), written
-    # sorted by user; each batch then only filters them down to its own users.
-    seen_all = cut_lineage(seen_sets_of(seen).repartitionByRange("customer_id")
-                           .sortWithinPartitions("customer_id"), "seen-sets")
+    # Seen sets are aggregated once for the whole stream (not per micro-batch) and written in
+    # folders by a hash of the user; a batch reads the folders of its own users only. The
+    # item side is broadcast once for the stream.
+    store = scratch_path(spark, "seen-sets")
+    folder = F.pmod(F.xxhash64("customer_id"), F.lit(SEEN_FOLDERS)).cast("int")
+    (seen_sets_of(seen).withColumn("folder", folder).repartition("folder")
+     .write.partitionBy("folder").parquet(store))
+    seen_all = spark.read.schema("customer_id long, seen array<bigint>, folder int").parquet(store)
+    blocks = ItemBlocks(model, limit_bytes)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
@@ -95,14 +102,20 @@ def run_request_stream(spark: SparkSession, src_dir: str, out_dir: str, rejects_
             # when its counted size allows
             probe = (F.broadcast(batch_users) if st["n_users"] <= MAX_BROADCAST_USERS
                      else batch_users)
-            seen_b = seen_all.join(probe, "customer_id", "left_semi")
+            own = [r[0] for r in batch_users.select(folder).distinct().collect()]   # bounded
+            seen_b = (seen_all.where(F.col("folder").isin(own))
+                      .join(probe, "customer_id", "left_semi"))
             recs = recommend_topk(batch_users, model, int(st["kmax"]), seen_sets=seen_b,
-                                  titles=titles, scale=scale, rank_digits=rank_digits)
+                                  titles=titles, scale=scale, rank_digits=rank_digits,
+                                  blocks=blocks)
             (good.join(recs, "customer_id").filter(F.col("rank") <= F.col("k"))
              .drop("k").write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id)))
         df.unpersist()
 
-    _run(req.writeStream.foreachBatch(batch), checkpoint)
+    try:
+        _run(req.writeStream.foreachBatch(batch), checkpoint)
+    finally:
+        blocks.close()
 
 
 # --- S3: rolling accuracy -------------------------------------------------------------
