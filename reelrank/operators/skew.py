@@ -6,9 +6,9 @@ hash of the row, and its (single) small-side row is replicated once per salt. Co
 keep salt 0, so nothing is replicated for them. The result equals the plain join exactly,
 whichever keys are treated as hot; only the task sizes change.
 
-The hot-key table is broadcast only after counting it: it has at most
-``big_rows / max_rows_per_key`` rows by construction, and the count is checked against
-``max_hot_keys`` (above it the plain join is used and AQE's skew handling applies).
+The hot-key table is broadcast only after counting it: with more than ``max_hot_keys`` hot
+keys the bound on the rows per key is doubled until the hottest keys fit, so the hottest
+keys are always salted.
 """
 
 from __future__ import annotations
@@ -41,9 +41,19 @@ def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
         counts = big.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
     hot = hot_keys(counts, key, count_col, max_rows_per_key)
     n_hot = hot.count()
-    if n_hot == 0 or n_hot > max_hot_keys:
+    while n_hot > max_hot_keys:
+        max_rows_per_key *= 2
+        hot = hot_keys(counts, key, count_col, max_rows_per_key)
+        n_hot = hot.count()
+    if n_hot == 0:
         return big.join(small, key, how)
-    hot = F.broadcast(hot)                                   # ≤ max_hot_keys rows, checked
+    big, small = salted(big, small, key, F.broadcast(hot))   # ≤ max_hot_keys rows, checked
+    return big.join(small, [key, "_salt"], how).drop("_salt")
+
+
+def salted(big: DataFrame, small: DataFrame, key: str, hot: DataFrame):
+    """Both sides with a ``_salt`` column: rows of a hot key spread over its salts, its row of
+    the small side once for each salt."""
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
@@ -53,4 +63,4 @@ def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
          .withColumn("_salt", F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
                                         .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))))
          .drop("_salts"))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+    return b, s

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g")))
     if event_log_dir:
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = b.getOrCreate()
@@ -40,6 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if cur:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="reelrank-ckpt-")
     sc.setCheckpointDir(conf_dir)

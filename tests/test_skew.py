@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from reelrank.operators.scoring import estimate_pairs
-from reelrank.operators.skew import skew_join
+from reelrank.operators.skew import hot_keys, salted, skew_join
 from reelrank.operators.split import flag_cold_users
 
 
@@ -19,12 +19,29 @@ def test_skew_join_equals_plain_join(spark):
     small = spark.createDataFrame([(u, float(u)) for u in range(0, 30)], "customer_id long, w double")
     for how in ("left", "inner"):
         plain = big.join(small, "customer_id", how)
-        salted = skew_join(big, small, "customer_id", how, max_rows_per_key=100)
+        got = skew_join(big, small, "customer_id", how, max_rows_per_key=100)
         cols = ["customer_id", "movie_id", "v", "w"]
-        assert sorted(plain.select(*cols).collect()) == sorted(salted.select(*cols).collect())
-    # the hot user is split into ceil(3000 / 100) salts, i.e. several groups
-    salted = skew_join(big, small, "customer_id", "left", max_rows_per_key=100)
-    assert "_salt" not in salted.columns
+        assert sorted(plain.select(*cols).collect()) == sorted(got.select(*cols).collect())
+
+
+def test_hot_user_is_spread_evenly(spark):
+    big = _skewed(spark).withColumn("n", F.monotonically_increasing_id())
+    small = spark.createDataFrame([(u, float(u)) for u in range(0, 30)], "customer_id long, w double")
+    counts = big.groupBy("customer_id").agg(F.count("*").alias("c"))
+    b, s = salted(big, small, "customer_id", hot_keys(counts, "customer_id", "c", 100))
+    per = {r[0]: r[1] for r in b.where("customer_id = 0").groupBy("_salt").count().collect()}
+    assert len(per) == 30 and max(per.values()) < 200
+    assert s.where("customer_id = 0").count() == 30 and s.where("customer_id = 1").count() == 1
+
+
+def test_more_hot_keys_than_the_limit_still_salts(spark):
+    rows = [(u, i) for u in range(6) for i in range(40)] + [(0, i) for i in range(400)]
+    big = spark.createDataFrame(rows, "customer_id long, movie_id long")
+    small = spark.createDataFrame([(u, u * 2) for u in range(6)], "customer_id long, w long")
+    out = skew_join(big, small, "customer_id", "left", max_rows_per_key=10, max_hot_keys=2)
+    assert "_salt" in out._jdf.queryExecution().analyzed().toString()
+    plain = big.join(small, "customer_id", "left").select(*out.columns)
+    assert sorted(out.collect()) == sorted(plain.collect())
 
 
 def test_scoring_and_cold_flag_with_salting(spark, tiny_model):
