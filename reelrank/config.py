@@ -16,7 +16,6 @@ class Params:
     test_size: float = 0.2
     n_factors: int = 50
     n_epochs: int = 20
-    lr_all: float = 0.005
     reg_all: float = 0.05
     top_n: int = 10
     relevance_threshold: float = 4.5

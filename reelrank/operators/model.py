@@ -21,6 +21,7 @@ from reelrank.functions.columns import dot
 from reelrank.session import cut_lineage, ensure_checkpoint_dir
 
 INT_MAX = 2 ** 31 - 1
+ITEMS_PER_BLOCK = 100
 
 
 @dataclass
@@ -160,7 +161,8 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
         num_blocks = max(spark.sparkContext.defaultParallelism, int(istat["n"] // 5_000_000) + 1)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="u", itemCol="i",
               ratingCol="e", nonnegative=False, implicitPrefs=False, seed=seed,
-              numUserBlocks=num_blocks, numItemBlocks=num_blocks,
+              numUserBlocks=num_blocks,
+              numItemBlocks=max(1, min(num_blocks, -(-items.count() // ITEMS_PER_BLOCK))),
               checkpointInterval=checkpoint_interval, coldStartStrategy="nan")
     fitted = als.fit(resid)
     uf = fitted.userFactors.select(F.col("id").cast("bigint").alias("customer_id"),
@@ -173,9 +175,10 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
         itf = (itf.withColumnRenamed("movie_id", "_i").join(iidx, "_i")
                .select("movie_id", "q"))
     if final_bias_sweep:
-        with_pq = (r.join(uf, "customer_id", "left").join(itf, "movie_id", "left")
+        with_pq = cut_lineage(
+                   r.join(uf, "customer_id", "left").join(itf, "movie_id", "left")
                    .withColumn("_o", F.coalesce(dot("p", "q"), F.lit(0.0)))
-                   .select("customer_id", "movie_id", "r", "_o"))
+                   .select("customer_id", "movie_id", "r", "_o"), "with-factors")
         users, items = bias_sweeps(r, mu, reg, 1, users=users, offset=with_pq)
     user_tab = cut_lineage(users.join(uf, "customer_id", "left"))
     item_tab = cut_lineage(items.join(itf, "movie_id", "left"))
