@@ -67,8 +67,16 @@ def count_histogram(df: DataFrame, key: str, bins: int = 80) -> DataFrame:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
     mn, mx = float(mm["mn"]), float(mm["mx"])
     e0, e1 = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
-    b = F.least(F.floor((F.col("n") - F.lit(e0)) / F.lit(e1 - e0) * F.lit(bins)),
-                F.lit(bins - 1)).cast("int")
+    # The index by division, corrected against the edges themselves (they are rounded).
+    step = (e1 - e0) / bins
+    raw = F.least(F.floor((F.col("n") - F.lit(e0)) / F.lit(e1 - e0) * F.lit(bins)),
+                  F.lit(bins - 1)).cast("int")
+
+    def edge(i):
+        return F.when(i == bins, F.lit(e1)).otherwise(i * F.lit(step) + F.lit(e0))
+
+    b = (F.when(F.col("n") < edge(raw), raw - 1)
+         .when((F.col("n") >= edge(raw + 1)) & (raw < bins - 1), raw + 1).otherwise(raw))
     hist = c.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (e1 - e0) / bins

@@ -46,7 +46,8 @@ class Derived:
     def _processed(self) -> tuple[str, object]:
         key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir),
                _source_stamp(self.sf_dir))
-        hit = _PROCESSED.get(key)
+        # A folder without local time stamps may have been rewritten: never remembered.
+        hit = None if None in key[2] else _PROCESSED.get(key)
         if hit is None:
             path = scratch_path(self.spark, "ratings-all")
             tables.ratings_all(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)

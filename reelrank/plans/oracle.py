@@ -252,6 +252,24 @@ cte("hist_range", """
   SELECT CASE WHEN min(n) = max(n) THEN min(n) - 0.5 ELSE CAST(min(n) AS DOUBLE) END AS e0,
          CASE WHEN min(n) = max(n) THEN max(n) + 0.5 ELSE CAST(max(n) AS DOUBLE) END AS e1
   FROM movie_counts""", "movie_counts")
+cte("user_hist_range", """
+  SELECT CASE WHEN min(n) = max(n) THEN min(n) - 0.5 ELSE CAST(min(n) AS DOUBLE) END AS e0,
+         CASE WHEN min(n) = max(n) THEN max(n) + 0.5 ELSE CAST(max(n) AS DOUBLE) END AS e1
+  FROM user_counts""", "user_counts")
+
+
+def _histogram(counts: str, span: str) -> str:
+    """A count falls into the bin whose edges hold it (the last bin is closed)."""
+    return sql(f"""
+      SELECT CAST(e.bin AS INTEGER) AS bin, round(e.lo, 6) AS lo, round(e.hi, 6) AS hi,
+             count(c.n) AS n
+      FROM (SELECT g.bin, g.bin * ((e1 - e0) / 80) + e0 AS lo,
+                   CASE WHEN g.bin = 79 THEN e1 ELSE (g.bin + 1) * ((e1 - e0) / 80) + e0 END AS hi
+            FROM range(80) g(bin) CROSS JOIN {span}) e
+      LEFT JOIN {counts} c ON c.n >= e.lo AND (c.n < e.hi OR (e.bin = 79 AND c.n <= e.hi))
+      GROUP BY e.bin, e.lo, e.hi""", counts, span)
+
+
 cte("movie_stats", f"""
   SELECT movie_id, avg(CAST(rating AS DOUBLE)) AS avg_rating, count(*) AS num_ratings
   FROM ratings GROUP BY movie_id HAVING count(*) >= {REL_MIN}""", "ratings")
@@ -295,16 +313,14 @@ ORACLE.update({
       SELECT round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.75), 6) AS p75,
              round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.95), 6) AS p95,
              round(quantile_cont(n, 0.99), 6) AS p99 FROM user_counts""", "user_counts"),
-    "movie_count_histogram": sql("""
-      SELECT CAST(g.bin AS INTEGER) AS bin,
-             round(r.e0 + g.bin * ((r.e1 - r.e0) / 80), 6) AS lo,
-             round(r.e0 + (g.bin + 1) * ((r.e1 - r.e0) / 80), 6) AS hi,
-             CAST(coalesce(h.cnt, 0) AS BIGINT) AS n
-      FROM range(80) g(bin) CROSS JOIN hist_range r
-      LEFT JOIN (SELECT CAST(least(floor((m.n - r2.e0) / (r2.e1 - r2.e0) * 80), 79) AS INTEGER)
-                          AS bin, count(*) AS cnt
-                 FROM movie_counts m CROSS JOIN hist_range r2 GROUP BY 1) h
-        ON h.bin = g.bin""", "movie_counts", "hist_range"),
+    "movie_count_histogram": _histogram("movie_counts", "hist_range"),
+    "user_count_histogram": _histogram("user_counts", "user_hist_range"),
+    "user_count_describe": sql("""
+      SELECT count(*) AS count, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS std,
+             round(CAST(min(n) AS DOUBLE), 6) AS min,
+             round(quantile_cont(n, 0.25), 6) AS p25, round(quantile_cont(n, 0.5), 6) AS p50,
+             round(quantile_cont(n, 0.75), 6) AS p75, round(CAST(max(n) AS DOUBLE), 6) AS max
+      FROM user_counts""", "user_counts"),
     "top_rated_count": sql("""
       SELECT m.movie_id, coalesce(t.title, CAST(m.movie_id AS VARCHAR)) AS label,
              m.n AS num_ratings
@@ -417,3 +433,62 @@ ORACLE["train_test_gap_fixed_model"] = sql("""
   FROM (SELECT sqrt(avg((est - rating) * (est - rating))) AS train_rmse FROM scored_train) a
   CROSS JOIN (SELECT sqrt(avg((est - rating) * (est - rating))) AS test_rmse FROM scored) b""",
     "scored_train", "scored")
+
+ORACLE["sample_rows_duplicates"] = f"""
+  SELECT CAST(floor(count(*) * CAST({derive.QUERY_SAMPLE_ROWS_FRACTION} AS DOUBLE)) AS BIGINT)
+           AS n_sampled
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+ORACLE["stream_request_rejects"] = sql("""
+  SELECT DISTINCT customer_id AS request_id, customer_id,
+         CAST(5 * (customer_id % 12) AS INTEGER) AS k, 'k must be in 1..50' AS reason
+  FROM test WHERE 5 * (customer_id % 12) NOT BETWEEN 1 AND 50""", "test")
+
+
+# --- planted ratings: the bias-only model in SQL, the fit itself held to a gate ----------
+
+def _planted(source: str) -> str:
+    dot = " + ".join(f"(u.e[{j}] * CAST(6.4 AS DOUBLE)) * (i.e[{j}] * CAST(6.4 AS DOUBLE))"
+                     for j in (1, 2, 3))
+    return f"""
+  SELECT t.customer_id, t.movie_id,
+         least(greatest(3 + ({dot}), CAST(1 AS DOUBLE)), CAST(5 AS DOUBLE)) AS rating
+  FROM {source} t CROSS JOIN nemb JOIN emb u ON u.vec_id = t.customer_id % nemb.n
+  JOIN emb i ON i.vec_id = (t.movie_id * 7 + 3) % nemb.n"""
+
+
+cte("p_train", _planted("train"), "train", "emb", "nemb")
+cte("p_test", _planted("test"), "test", "emb", "nemb")
+cte("p_mu", "SELECT avg(rating) AS mu FROM p_train", "p_train")
+_prev = None
+for _s in range(1, P.bias_sweeps + 1):
+    _bu = f"coalesce({_prev}.b_u, 0)" if _prev else "0"
+    _join = f"LEFT JOIN {_prev} USING (customer_id)" if _prev else ""
+    cte(f"p_bi{_s}", f"""
+  SELECT t.movie_id, avg(t.rating - p_mu.mu - {_bu}) / CAST({REG_DIV} AS DOUBLE) AS b_i
+  FROM p_train t CROSS JOIN p_mu {_join} GROUP BY t.movie_id""",
+        "p_train", "p_mu", *((_prev,) if _prev else ()))
+    cte(f"p_bu{_s}", f"""
+  SELECT t.customer_id, avg(t.rating - p_mu.mu - b.b_i) / CAST({REG_DIV} AS DOUBLE) AS b_u
+  FROM p_train t CROSS JOIN p_mu JOIN p_bi{_s} b USING (movie_id) GROUP BY t.customer_id""",
+        "p_train", "p_mu", f"p_bi{_s}")
+    _prev = f"p_bu{_s}"
+for _t in ("train", "test"):
+    cte(f"p_{_t}_rmse", f"""
+  SELECT sqrt(avg(pow(least(greatest(p_mu.mu + coalesce(u.b_u, 0) + coalesce(i.b_i, 0), 1), 5)
+                      - t.rating, 2))) AS rmse
+  FROM p_{_t} t CROSS JOIN p_mu LEFT JOIN {_prev} u USING (customer_id)
+  LEFT JOIN p_bi{P.bias_sweeps} i USING (movie_id)""",
+        f"p_{_t}", "p_mu", _prev, f"p_bi{P.bias_sweeps}")
+
+ORACLE["fit_mf"] = sql("""
+  SELECT (SELECT count(*) FROM p_train) AS n_train, (SELECT count(*) FROM p_test) AS n_test,
+         round(p_mu.mu, 6) AS mu, round(p_test_rmse.rmse, 6) AS bias_test_rmse,
+         TRUE AS als_passes FROM p_mu CROSS JOIN p_test_rmse""", "p_train", "p_test", "p_test_rmse")
+ORACLE["train_test_gap"] = sql("""
+  SELECT round(a.rmse, 6) AS bias_train_rmse, round(b.rmse, 6) AS bias_test_rmse,
+         round(b.rmse - a.rmse, 6) AS bias_gap, TRUE AS als_passes
+  FROM p_train_rmse a CROSS JOIN p_test_rmse b""", "p_train_rmse", "p_test_rmse")
+ORACLE["hyperparameter_sweep"] = sql("""
+  SELECT CAST(s.f AS INTEGER) AS n_factors, CAST(s.r AS DOUBLE) AS reg_all,
+         round(rmse, 6) AS bias_test_rmse, TRUE AS als_passes
+  FROM p_test_rmse CROSS JOIN (VALUES (100, 0.02), (50, 0.05)) AS s(f, r)""", "p_test_rmse")

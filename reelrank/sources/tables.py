@@ -92,3 +92,26 @@ def embedding_factor_model(spark: SparkSession, sf_dir: str, bias):
              .select("movie_id", "b_i",
                      F.transform("e", lambda x: x * F.lit(ITEM_VECTOR_SCALE)).alias("q")))
     return MFModel(bias.global_mean, users, items, rank=64)
+
+
+# Fixed values of the planted ratings: the first three components of the same vectors, each
+# times 6.4, around a mean of 3.
+PLANTED_FACTORS = 3
+PLANTED_SCALE = 6.4
+
+
+def planted_ratings(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with ratings clip(3 + p_u . q_i, 1, 5) that a factor model can learn."""
+    emb = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform(F.slice(F.col("embedding").cast("array<double>"), 1,
+                                      PLANTED_FACTORS), lambda x: x * PLANTED_SCALE).alias("f"))
+    n = emb.count()
+    users = emb.select(F.col("vec_id").alias("_u"), F.col("f").alias("_p"))
+    items = emb.select(F.col("vec_id").alias("_i"), F.col("f").alias("_q"))
+    dot = F.aggregate(F.zip_with("_p", "_q", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return (pairs.withColumn("_u", F.pmod(F.col("customer_id"), F.lit(n)))
+            .withColumn("_i", F.pmod(F.col("movie_id") * ITEM_VECTOR_MULT + ITEM_VECTOR_ADD,
+                                     F.lit(n)))
+            .join(users, "_u").join(items, "_i")
+            .withColumn("rating", F.least(F.greatest(F.lit(3.0) + dot, F.lit(1.0)), F.lit(5.0)))
+            .drop("_u", "_i", "_p", "_q"))

@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 from reelrank.operators.fill import forward_fill
 from reelrank.operators.filtering import filter_sparse
 from reelrank.operators.ordstat import nth_smallest
+from reelrank.operators.profile import count_histogram
 from reelrank.operators.sampling import dense_index, sample_ids, sample_rows, sample_users
 from reelrank.operators.split import flag_cold_users, temporal_cut, temporal_split
 
 
 def test_filter_cascade_movies_then_users(spark):
-    df = spark.createDataFrame([(1, 100), (2, 100), (1, 101), (2, 101), (1, 102), (3, 102)],
-                               "movie_id long, customer_id long").withColumn("rating", F.lit(4.0))
-    res = filter_sparse(df, 2, 2)
-    assert sorted(r.movie_id for r in res.valid_movies.collect()) == [1, 2]
-    assert sorted(r.customer_id for r in res.valid_users.collect()) == [100, 101]
-    assert res.ratings.count() == 4
+    # Movie 9 has one rating only; without it user 33 is left with too few.
+    pairs = [(m, u) for m in (5, 6, 7) for u in (31, 32)] + [(5, 33), (6, 33), (9, 33)]
+    df = spark.createDataFrame(pairs, "movie_id long, customer_id long").withColumn(
+        "rating", F.lit(2.0))
+    res = filter_sparse(df, 2, 3)
+    assert sorted(r.movie_id for r in res.valid_movies.collect()) == [5, 6, 7]
+    assert sorted(r.customer_id for r in res.valid_users.collect()) == [31, 32]
+    assert res.ratings.count() == 6
 
 
 def _dates_df(spark, dates):
@@ -61,9 +64,9 @@ def test_nth_smallest_out_of_range(spark):
 def test_sample_exact_size_and_deterministic(spark, tiny_ratings):
     a = sample_ids(tiny_ratings, "customer_id", 0.35, 42)
     b = sample_ids(tiny_ratings, "customer_id", 0.35, 42)
-    assert a.count() == int(20 * 0.35)
+    assert a.count() == int(26 * 0.35)
     assert sorted(a.collect()) == sorted(b.collect())
-    assert sample_ids(tiny_ratings, "customer_id", 0.35, 7).count() == int(20 * 0.35)
+    assert sample_ids(tiny_ratings, "customer_id", 0.35, 7).count() == int(26 * 0.35)
     s = sample_users(tiny_ratings, 0.35, 42)
     ids = {r.customer_id for r in a.collect()}
     full = tiny_ratings.filter(F.col("customer_id").isin(list(ids))).count()
@@ -73,16 +76,32 @@ def test_sample_exact_size_and_deterministic(spark, tiny_ratings):
     assert sample_users(tiny_ratings, 1.0, 42).count() == n
 
 
+@pytest.mark.parametrize("fraction", [0.1, 0.25, 0.66])
+def test_row_sample_with_repeated_rows_has_the_exact_size(spark, fraction):
+    df = spark.range(120).select((F.col("id") % 3).alias("customer_id"),
+                                 (F.col("id") % 2).alias("movie_id"))
+    assert sample_rows(df, fraction, 4).count() == int(120 * fraction)
+
+
+def test_count_histogram_equals_numpy(spark):
+    """All integer ranges 1..n: one id of every count."""
+    for n in (2, 7, 89, 130, 257, 400):
+        df = spark.range(1, n + 1).select(F.explode(F.array_repeat("id", F.col("id").cast("int")))
+                                          .alias("movie_id"))
+        got = [r["n"] for r in count_histogram(df, "movie_id", 80).orderBy("bin").collect()]
+        assert got == np.histogram(np.arange(1, n + 1), bins=80)[0].tolist(), n
+
+
 def test_sample_matches_md5_order(spark, tiny_ratings):
     import hashlib
     ids = sorted({r.customer_id for r in tiny_ratings.select("customer_id").collect()})
-    want = sorted(ids, key=lambda u: (hashlib.md5(f"{u}:42".encode()).hexdigest(), u))[:7]
+    want = sorted(ids, key=lambda u: (hashlib.md5(f"{u}:42".encode()).hexdigest(), u))[:9]
     got = sorted(r.customer_id for r in sample_ids(tiny_ratings, "customer_id", 0.35, 42).collect())
     assert got == sorted(want)
 
 
 @pytest.mark.parametrize("parts", [1, 3, 8])
-def test_dense_index_is_exact_inverse(spark, parts):
+def test_dense_index_follows_the_order_of_ids(spark, parts):
     ids = spark.createDataFrame([(int(x),) for x in np.random.default_rng(2).choice(10_000, 300, replace=False)],
                                 "id long")
     idx = dense_index(ids, "id", partitions=parts).collect()

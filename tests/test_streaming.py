@@ -1,6 +1,7 @@
 """Structured Streaming jobs: ingest idempotence, request rejects, watermark drops."""
 
 import datetime as dt
+import glob
 import os
 import tempfile
 
@@ -27,7 +28,14 @@ def test_ingest_is_idempotent_and_latest_wins(spark):
     got = sorted(tuple(r) for r in sj.read_ingested(spark, f"{base}/out").collect())
     assert got == [(1, 100, 5.0, dt.date(2005, 2, 1)), (1, 101, 4.0, dt.date(2005, 1, 2)),
                    (2, 100, 2.0, dt.date(2004, 12, 31))]
-    # replaying a batch overwrites its own folder instead of appending
+    # a batch whose commit is lost runs again and overwrites its own folder
+    done = max(glob.glob(f"{base}/ckpt/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    for p in (done, os.path.join(os.path.dirname(done), f".{os.path.basename(done)}.crc")):
+        if os.path.exists(p):
+            os.remove(p)
+    before = os.path.getmtime(f"{base}/out/batch_id={os.path.basename(done)}")
+    sj.run_rating_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
+    assert os.path.getmtime(f"{base}/out/batch_id={os.path.basename(done)}") > before
     raw = spark.read.parquet(f"{base}/out")
     assert raw.count() == 4 and raw.select("batch_id").distinct().count() == 2
 
