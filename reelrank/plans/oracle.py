@@ -492,3 +492,23 @@ ORACLE["hyperparameter_sweep"] = sql("""
   SELECT CAST(s.f AS INTEGER) AS n_factors, CAST(s.r AS DOUBLE) AS reg_all,
          round(rmse, 6) AS bias_test_rmse, TRUE AS als_passes
   FROM p_test_rmse CROSS JOIN (VALUES (100, 0.02), (50, 0.05)) AS s(f, r)""", "p_test_rmse")
+cte("unit", """
+  SELECT movie_id, list_transform(q, lambda x: x / sqrt(list_dot_product(q, q))) AS v
+  FROM itf WHERE q IS NOT NULL AND list_dot_product(q, q) > 0""", "itf")
+ORACLE["similar_items"] = sql(f"""
+  SELECT movie_id, CAST(rn AS INTEGER) AS rank, similar_id, round(c, 6) AS cosine
+  FROM (SELECT *, row_number() OVER (PARTITION BY movie_id
+                                     ORDER BY round(c, 9) DESC, similar_id) AS rn
+        FROM (SELECT a.movie_id, b.movie_id AS similar_id, list_dot_product(a.v, b.v) AS c
+              FROM unit a JOIN unit b ON a.movie_id <> b.movie_id))
+  WHERE rn <= {P.top_k}""", "unit")
+ORACLE["personalised_vs_popular"] = sql(f"""
+  SELECT segment, count(*) AS n_users, round(avg(n), 6) AS avg_overlap
+  FROM (SELECT r.customer_id, r.segment, count(p.movie_id) AS n
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                                           ORDER BY round(raw, 9) DESC, movie_id) AS rn
+              FROM rec_cand) r
+        LEFT JOIN (SELECT i.movie_id FROM itf i CROSS JOIN mu
+                   ORDER BY round(mu.mu + i.b_i, 9) DESC, i.movie_id LIMIT {P.top_k}) p
+          ON p.movie_id = r.movie_id
+        WHERE r.rn <= {P.top_k} GROUP BY 1, 2) GROUP BY 1""", "rec_cand", "itf", "mu")

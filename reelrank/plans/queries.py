@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import fill, filtering, metrics, profile, sampling, split
 from reelrank.operators.scoring import estimate_pairs
-from reelrank.operators.topk import popularity_topk, recommend_topk
+from reelrank.operators.topk import (popularity_overlap, popularity_topk, recommend_topk,
+                                     similar_items)
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
                                    QUERY_RELIABLE_MIN_RATINGS, QUERY_SAMPLE_ROWS_FRACTION,
                                    Derived)
@@ -210,6 +211,22 @@ def popularity_topk_query(spark, sf_dir):
                       r6("raw_score").alias("raw_score"))
 
 
+@query("similar_items")
+def similar_items_query(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    out = similar_items(d.emb_model, d.params.top_k, rank_digits=9)
+    return out.select("movie_id", "rank", "similar_id", r6("cosine").alias("cosine"))
+
+
+@query
+def personalised_vs_popular(spark, sf_dir):
+    d = Derived(spark, sf_dir)
+    recs = _recs(spark, sf_dir)
+    popular = popularity_topk(d.emb_model, d.params.top_k, rank_digits=9)
+    out = popularity_overlap(recs, popular)
+    return out.select("segment", "n_users", r6("avg_overlap").alias("avg_overlap"))
+
+
 # --- profile (D3–D12, E5, F4, F5, F8, D19) -------------------------------------------
 
 @query
