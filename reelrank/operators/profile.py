@@ -8,14 +8,28 @@ from pyspark.sql import functions as F
 RATING_COLS = ("customer_id", "movie_id", "rating", "date")
 
 
-def overview(df: DataFrame) -> DataFrame:
+def overview(df: DataFrame, approx: bool = False) -> DataFrame:
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in RATING_COLS]
-    return df.agg(F.count(F.lit(1)).alias("n_ratings"),
-                  F.count_distinct("customer_id").alias("n_users"),
-                  F.count_distinct("movie_id").alias("n_movies"),
-                  F.min("date").alias("min_date"), F.max("date").alias("max_date"),
-                  F.min("rating").alias("min_rating"), F.max("rating").alias("max_rating"),
-                  *nulls)
+    rest = df.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+                  F.min("rating").alias("min_rating"), F.max("rating").alias("max_rating"), *nulls)
+    out = sizes(df, approx).crossJoin(rest)                   # one row with one row
+    return out.select("n_ratings", "n_users", "n_movies", *rest.columns)
+
+
+def sizes(df: DataFrame, approx: bool = False) -> DataFrame:
+    """One row: n_ratings, n_users, n_movies.
+
+    Exact counts come from one table per key (rows combine in the map tasks), so no row is
+    expanded per distinct count; ``approx`` uses HyperLogLog sketches in a single pass.
+    """
+    if approx:
+        return df.agg(F.count(F.lit(1)).alias("n_ratings"),
+                      F.approx_count_distinct("customer_id", 0.01).alias("n_users"),
+                      F.approx_count_distinct("movie_id", 0.01).alias("n_movies"))
+    users = counts_per(df, "customer_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_ratings"),
+                                              F.count("customer_id").alias("n_users"))
+    movies = counts_per(df, "movie_id").agg(F.count("movie_id").alias("n_movies"))
+    return users.crossJoin(movies)                            # one row with one row
 
 
 def rating_distribution(df: DataFrame) -> DataFrame:
@@ -117,10 +131,8 @@ def monthly_volume(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def sparsity(df: DataFrame) -> DataFrame:
-    s = df.agg(F.count_distinct("customer_id").alias("n_users"),
-               F.count_distinct("movie_id").alias("n_movies"),
-               F.count(F.lit(1)).alias("n_ratings"))
+def sparsity(df: DataFrame, approx: bool = False) -> DataFrame:
+    s = sizes(df, approx)
     possible = F.col("n_users") * F.col("n_movies")
     return (s.withColumn("possible", possible)
             .withColumn("density", F.col("n_ratings") / F.col("possible"))

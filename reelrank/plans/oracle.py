@@ -512,3 +512,14 @@ ORACLE["personalised_vs_popular"] = sql(f"""
                    ORDER BY round(mu.mu + i.b_i, 9) DESC, i.movie_id LIMIT {P.top_k}) p
           ON p.movie_id = r.movie_id
         WHERE r.rn <= {P.top_k} GROUP BY 1, 2) GROUP BY 1""", "rec_cand", "itf", "mu")
+
+ORACLE["metrics_json_roundtrip"] = ORACLE["metrics_report"]
+ORACLE["recommend_single"] = (f"SELECT * FROM ({_REC}) WHERE customer_id = "
+                              "(SELECT min(customer_id) FROM (" + sql(
+                                  "SELECT customer_id FROM test", "test") + "))")
+ORACLE["recommend_batch"] = f"""SELECT * FROM ({_REC}) WHERE customer_id IN (
+  SELECT customer_id FROM (
+    SELECT customer_id, count(*) OVER () AS n, row_number() OVER (
+             ORDER BY md5(CAST(customer_id AS VARCHAR) || ':{P.seed}'), customer_id) AS rn
+    FROM (SELECT DISTINCT customer_id FROM ({sql("SELECT customer_id FROM test", "test")})))
+  WHERE rn <= floor(n * CAST(0.3 AS DOUBLE)))"""

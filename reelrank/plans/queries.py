@@ -16,6 +16,7 @@ from reelrank.operators import fill, filtering, metrics, profile, sampling, spli
 from reelrank.operators.scoring import estimate_pairs
 from reelrank.operators.topk import (popularity_overlap, popularity_topk, recommend_topk,
                                      similar_items)
+from reelrank.plans import jobs
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
                                    QUERY_RELIABLE_MIN_RATINGS, QUERY_SAMPLE_ROWS_FRACTION,
                                    Derived)
@@ -211,6 +212,43 @@ def popularity_topk_query(spark, sf_dir):
                       r6("raw_score").alias("raw_score"))
 
 
+QUALIFYING_SHARE = 0.3
+
+
+@query
+def recommend_batch(spark, sf_dir):
+    """The batch job from a written qualifying file and titles file (H11)."""
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "batch")
+    blocktext.write_block_text(d.test, f"{base}/qualifying", with_rating=False)
+    titles_src.write_titles(d.titles, f"{base}/titles")
+    recs = jobs.recommend(spark, d.emb_model, d.ratings, f"{base}/qualifying", f"{base}/titles",
+                          base, d.params.replace(qualifying_sample_fraction=QUALIFYING_SHARE),
+                          rank_digits=9)
+    return recs.select("customer_id", "rank", "movie_id", "title", r6("score").alias("score"),
+                       r6("raw_score").alias("raw_score"), "segment")
+
+
+@query
+def recommend_single(spark, sf_dir):
+    """The same job for one user: the smallest id of the test set (H10)."""
+    d = Derived(spark, sf_dir)
+    user = d.test.agg(F.min("customer_id")).first()[0]
+    recs = jobs.recommend_one(d.emb_model, d.ratings, user, d.params.top_k, d.titles, d.params,
+                              rank_digits=9)
+    return recs.select("customer_id", "rank", "movie_id", "title", r6("score").alias("score"),
+                       r6("raw_score").alias("raw_score"), "segment")
+
+
+@query
+def metrics_json_roundtrip(spark, sf_dir):
+    """The report written as JSON and read back (A13)."""
+    from reelrank.sources.sinks import read_metrics, write_metrics
+    path = scratch_path(spark, "metrics-json")
+    write_metrics(metrics_report(spark, sf_dir), path)
+    return read_metrics(spark, path)
+
+
 @query("similar_items")
 def similar_items_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
@@ -359,7 +397,7 @@ def parse_block_text_query(spark, sf_dir):
     """Round trip: ratings → block text in the shared scratch area → parsed back."""
     d = Derived(spark, sf_dir)
     path = scratch_path(spark, "blocktext")
-    blocktext.write_block_text(d.ratings, path, files=4, chunks_per_movie=2)
+    blocktext.write_block_text(d.ratings, path)
     return blocktext.parse_block_text(spark, path)
 
 
@@ -367,7 +405,7 @@ def parse_block_text_query(spark, sf_dir):
 def qualifying_users_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
     path = scratch_path(spark, "qualifying")
-    blocktext.write_block_text(d.test, path, files=3, with_rating=False)
+    blocktext.write_block_text(d.test, path, with_rating=False)
     return blocktext.read_qualifying_users(spark, path)
 
 
@@ -375,7 +413,7 @@ def qualifying_users_query(spark, sf_dir):
 def titles_parse(spark, sf_dir):
     d = Derived(spark, sf_dir)
     path = scratch_path(spark, "titles")
-    titles_src.write_titles(d.titles, path, files=2)
+    titles_src.write_titles(d.titles, path)
     return titles_src.read_titles(spark, path)
 
 
@@ -489,7 +527,7 @@ def model_roundtrip(spark, sf_dir):
 def stream_rating_ingest(spark, sf_dir):
     d = Derived(spark, sf_dir)
     base = scratch_path(spark, "ingest")
-    blocktext.write_block_text(d.ratings, f"{base}/src", files=4)
+    blocktext.write_block_text(d.ratings, f"{base}/src")
     sjobs.run_rating_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
     return sjobs.read_ingested(spark, f"{base}/out")
 
