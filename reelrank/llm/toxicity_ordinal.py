@@ -31,12 +31,12 @@ def features(text: str | None) -> Counter:
     return found
 
 
-def select_features(texts: list[Counter], toxic: np.ndarray, min_docs: int,
+def select_features(texts: list[str], toxic: np.ndarray, min_docs: int,
                     min_z: float, most: int) -> list[str]:
     """Features whose document frequencies in toxic and other texts differ clearly."""
     with_, without_ = Counter(), Counter()
-    for f, y in zip(texts, toxic, strict=True):
-        (with_ if y else without_).update(f.keys())
+    for t, y in zip(texts, toxic, strict=True):
+        (with_ if y else without_).update(features(t).keys())
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     rated = []
     for f, a in with_.items():
@@ -50,7 +50,7 @@ def select_features(texts: list[Counter], toxic: np.ndarray, min_docs: int,
     return [f for _, f in sorted(rated)[:most]]
 
 
-def severity_grades(texts: list[Counter], toxic: np.ndarray, names: list[str]) -> np.ndarray:
+def severity_grades(texts: list[dict[str, int]], toxic: np.ndarray, names: list[str]) -> np.ndarray:
     """Grades 0 to 3 from yes/no labels: toxic texts are graded by thirds of how often they
     hold features that are found in toxic texts only (nineteen of twenty times)."""
     with_, all_ = Counter(), Counter()
@@ -104,18 +104,19 @@ def fit_texts(texts: list[str], labels: list[int], min_docs: int, min_z: float,
     toxic = np.array(labels, bool)
     if not toxic.any() or toxic.all():
         return None
-    found = [features(t) for t in texts]
-    names = select_features(found, toxic, min_docs, min_z, most)
+    names = select_features(texts, toxic, min_docs, min_z, most)
     if not names:
         return None
     number = {f: i for i, f in enumerate(names)}
+    # Counted again, so that only the selected features of the sample are held at once.
+    found = [{w: n for w, n in features(t).items() if w in number} for t in texts]
     grade = severity_grades(found, toxic, names)
     rows, cols, vals = [], [], []
     for i, f in enumerate(found):
-        for w in number.keys() & f.keys():
+        for w, n in f.items():
             rows.append(i)
             cols.append(number[w])
-            vals.append(np.log1p(f[w]))
+            vals.append(np.log1p(n))
     weights, cuts = fit_cumulative_link(
         np.array(rows, np.int64), np.array(cols, np.int64), np.array(vals, float), len(found),
         len(names), grade)
