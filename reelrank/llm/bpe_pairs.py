@@ -29,7 +29,7 @@ SLICE_CHARS = 2_000_000
 # Ranks below this are applied to all their positions as arrays, the others one by one.
 LONG_LISTS = 500
 # Pretokens that a worker remembers (about 200 bytes each).
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 
 
 def _byte_symbols() -> dict[str, int]:
