@@ -234,6 +234,21 @@ _REC = sql(f"""
   WHERE rn <= {P.top_k}""", "rec_cand", "titles")
 ORACLE["recommend_topk"] = _REC
 ORACLE["recommend_topk_blocked"] = _REC
+cte("rec_series", """
+  SELECT c.*, coalesce(lower(trim(regexp_replace(t.title, ', Brand#[0-9]+$', ''))),
+                       'untitled ' || c.movie_id) AS name
+  FROM rec_cand c LEFT JOIN titles t USING (movie_id)""", "rec_cand", "titles")
+ORACLE["recommend_topk_series"] = sql(f"""
+  SELECT customer_id, CAST(rn AS INTEGER) AS rank, movie_id,
+         coalesce(t.title, '<unknown>') AS title,
+         round(least(greatest(raw, CAST(1.0 AS DOUBLE)), CAST(5.0 AS DOUBLE)), 6) AS score,
+         round(raw, 6) AS raw_score, segment
+  FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+                                     ORDER BY round(raw, 9) DESC, movie_id ASC) AS rn
+        FROM (FROM rec_series QUALIFY row_number() OVER (
+                PARTITION BY customer_id, name ORDER BY round(raw, 9) DESC, movie_id ASC) = 1)) c
+  LEFT JOIN titles t USING (movie_id)
+  WHERE rn <= {P.top_k}""", "rec_series", "titles")
 ORACLE["popularity_topk"] = sql(f"""
   SELECT CAST(row_number() OVER (ORDER BY round(mu.mu + i.b_i, 9) DESC, i.movie_id) AS INTEGER)
            AS rank,

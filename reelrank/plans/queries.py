@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reelrank.operators import fill, filtering, metrics, profile, sampling, split
 from reelrank.operators.scoring import estimate_pairs
 from reelrank.operators.topk import (popularity_overlap, popularity_topk, recommend_topk,
-                                     similar_items)
+                                     series_of, similar_items)
 from reelrank.plans import jobs
 from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATINGS,
                                    QUERY_RELIABLE_MIN_RATINGS, QUERY_SAMPLE_ROWS_FRACTION,
@@ -203,6 +203,18 @@ def recommend_topk_blocked(spark, sf_dir):
     return _recs(spark, sf_dir, limit_bytes=64 << 10)
 
 
+# Titles of the derived catalog name the part after the last comma.
+SERIES_PART_DERIVED = ", Brand#[0-9]+$"
+
+
+@query
+def recommend_topk_series(spark, sf_dir):
+    """Top-k in which the titles of a series take one place, in blocks of 64 KiB (H18)."""
+    d = Derived(spark, sf_dir)
+    series = cut_lineage(series_of(d.titles, SERIES_PART_DERIVED), "series")
+    return _recs(spark, sf_dir, series=series, limit_bytes=64 << 10)
+
+
 @query("popularity_topk")
 def popularity_topk_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
@@ -566,6 +578,25 @@ def stream_request_rejects(spark, sf_dir):
 STREAM_ROWS_PER_FILE = 1_000_000
 
 
+def write_arrivals(rows: DataFrame, path: str, time_col: str) -> None:
+    """Files in the order of ``time_col``, at most ``STREAM_ROWS_PER_FILE`` rows in each.
+
+    One job writes them all; the file source reads by modification time, so the files' times
+    are then set in the order of their names (metadata only).
+    """
+    spark = rows.sparkSession
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (rows.repartitionByRange(parts, time_col).sortWithinPartitions(time_col)
+     .write.option("maxRecordsPerFile", STREAM_ROWS_PER_FILE).parquet(path))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder)
+                    if f.getPath().getName().startswith("part-")), key=lambda f: f.getName())
+    last = max((fs.getFileStatus(f).getModificationTime() for f in files), default=0)
+    for i, f in enumerate(files):
+        fs.setTimes(f, last - 1000 * (len(files) - i), -1)
+
+
 @query
 def stream_rolling_rmse(spark, sf_dir):
     """Test rows arrive as files in date order (each file ≤ 1M rows, one per batch)."""
@@ -575,17 +606,8 @@ def stream_rolling_rmse(spark, sf_dir):
                          # UTC midnight of the date, independent of the session time zone
                          F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400)
                          .alias("ts"), "is_cold_user")
-    st = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"),
-                  F.count(F.lit(1)).alias("n")).first()
-    parts = max(4, -(-st["n"] // STREAM_ROWS_PER_FILE))
-    span = (st["hi"] - st["lo"]) / parts
-    for i in range(parts):                         # sequential writes: increasing mtimes
-        lo = st["lo"] + span * i
-        cond = F.col("ts") >= F.lit(lo)
-        if i < parts - 1:
-            cond &= F.col("ts") < F.lit(st["lo"] + span * (i + 1))
-        rows.filter(cond).repartition(1).write.parquet(f"{base}/src/{i:05d}")
-    sjobs.run_rolling_rmse(spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt", d.emb_model,
+    write_arrivals(rows, f"{base}/src", "ts")
+    sjobs.run_rolling_rmse(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt", d.emb_model,
                            d.params.rating_scale,
                            state_partitions=spark.sparkContext.defaultParallelism)
     r = sjobs.read_rolling_rmse(spark, f"{base}/out")
