@@ -541,7 +541,8 @@ def stream_rating_ingest(spark, sf_dir):
     base = scratch_path(spark, "ingest")
     blocktext.write_block_text(d.ratings, f"{base}/src")
     sjobs.run_rating_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
-    return sjobs.read_ingested(spark, f"{base}/out")
+    sjobs.compact_ingested(spark, f"{base}/out", f"{base}/state")
+    return sjobs.read_ingested(spark, f"{base}/out", f"{base}/state")
 
 
 def request_rows(d: Derived) -> DataFrame:
@@ -585,7 +586,7 @@ def write_arrivals(rows: DataFrame, path: str, time_col: str) -> None:
     are then set in the order of their names (metadata only).
     """
     spark = rows.sparkSession
-    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(4, -(-rows.count() // STREAM_ROWS_PER_FILE))
     (rows.repartitionByRange(parts, time_col).sortWithinPartitions(time_col)
      .write.option("maxRecordsPerFile", STREAM_ROWS_PER_FILE).parquet(path))
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -51,16 +51,59 @@ def run_rating_ingest(spark: SparkSession, src_dir: str, out_dir: str, checkpoin
     _run(lines.writeStream.foreachBatch(batch), checkpoint)
 
 
-def read_ingested(spark: SparkSession, out_dir: str) -> DataFrame:
+def _latest(rows: DataFrame) -> DataFrame:
+    """Newest date, then newest batch, then highest rating of each (customer, movie)."""
+    best = rows.groupBy("customer_id", "movie_id").agg(
+        F.max(F.struct("date", "batch_id", "rating")).alias("_b"))
+    return best.select("movie_id", "customer_id", F.col("_b.rating").alias("rating"),
+                       F.col("_b.date").alias("date"), F.col("_b.batch_id").alias("batch_id"))
+
+
+def _compacted_to(spark: SparkSession, state_dir: str) -> int:
+    """The last batch that a complete state table holds; -1 without one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(state_dir)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return -1
+    done = [f.getPath() for f in fs.listStatus(folder)
+            if f.getPath().getName().startswith("upto=")
+            and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return max((int(f.getName().removeprefix("upto=")) for f in done), default=-1)
+
+
+def _ingested_rows(spark: SparkSession, out_dir: str, state_dir: str | None) -> DataFrame:
+    """The newest state table and the batches after it. ``batch_id`` of a batch comes from
+    its folder name, so the folders that the state covers are not read."""
+    cols = ("movie_id", "customer_id", "rating", "date", "batch_id")
+    upto = _compacted_to(spark, state_dir) if state_dir else -1
+    rows = spark.read.parquet(out_dir).where(F.col("batch_id") > upto).select(*cols)
+    if upto >= 0:
+        rows = rows.unionByName(spark.read.parquet(f"{state_dir}/upto={upto}").select(*cols))
+    return rows
+
+
+def compact_ingested(spark: SparkSession, out_dir: str, state_dir: str) -> int:
+    """Write the latest ratings of all batches so far to ``<state_dir>/upto=<last batch>``.
+
+    A state table is used only when its write has completed, so a lost run changes nothing,
+    and a batch that is replayed later brings the rows the state already has. Run it between
+    ingests; it reads the previous state and the batches since.
+    """
+    # The column is a folder name: the scan reads no column of the files.
+    last = spark.read.parquet(out_dir).agg(F.max("batch_id")).first()[0]
+    if last is None or last <= _compacted_to(spark, state_dir):
+        return -1 if last is None else int(last)
+    (_latest(_ingested_rows(spark, out_dir, state_dir).where(F.col("batch_id") <= int(last)))
+     .write.mode("overwrite").parquet(f"{state_dir}/upto={last}"))
+    return int(last)
+
+
+def read_ingested(spark: SparkSession, out_dir: str, state_dir: str | None = None) -> DataFrame:
     """Latest rating per (customer, movie): newest date, then newest batch, then highest.
 
-    ``batch_id`` comes from the folder names (partition discovery).
+    With ``state_dir`` only the batches after the last ``compact_ingested`` are read.
     """
-    raw = spark.read.parquet(out_dir)
-    best = raw.groupBy("customer_id", "movie_id").agg(
-        F.max(F.struct("date", "batch_id", "rating")).alias("_b"))
-    return best.select("movie_id", "customer_id", F.col("_b.rating").alias("rating"),
-                       F.col("_b.date").alias("date"))
+    return _latest(_ingested_rows(spark, out_dir, state_dir)).drop("batch_id")
 
 
 # --- S2: recommendation requests ------------------------------------------------------

@@ -40,6 +40,30 @@ def test_ingest_is_idempotent_and_latest_wins(spark):
     assert raw.count() == 4 and raw.select("batch_id").distinct().count() == 2
 
 
+def test_compacted_state_reads_like_all_batches(spark):
+    """Ratings of later, equal and earlier dates arrive before and after two compactions."""
+    base = _dir()
+    os.makedirs(f"{base}/src")
+    out, state = f"{base}/out", f"{base}/state"
+    files = ["7:\n1,3,2005-01-05\n2,4,2005-01-05\n3,1,2005-01-05\n",
+             "7:\n1,5,2005-01-05\n2,2,2005-01-01\n4,2,2005-03-01\n",
+             "8:\n1,2,2005-02-02\n7:\n3,5,2005-01-09\n4,1,2005-02-01\n"]
+    for i, text in enumerate(files):
+        with open(f"{base}/src/{i}.txt", "w") as f:
+            f.write(text)
+        sj.run_rating_ingest(spark, f"{base}/src", out, f"{base}/ckpt")
+        plain = sorted(map(tuple, sj.read_ingested(spark, out).collect()))
+        assert sorted(map(tuple, sj.read_ingested(spark, out, state).collect())) == plain
+        if i < 2:
+            assert sj.compact_ingested(spark, out, state) == i
+            assert sj.compact_ingested(spark, out, state) == i          # nothing new
+            assert sorted(map(tuple, sj.read_ingested(spark, out, state).collect())) == plain
+    assert [r[:3] for r in plain] == [(7, 1, 5.0), (7, 2, 4.0), (7, 3, 5.0), (7, 4, 2.0), (8, 1, 2.0)]
+    # an unfinished state table is passed over
+    os.makedirs(f"{state}/upto=9")
+    assert sorted(map(tuple, sj.read_ingested(spark, out, state).collect())) == plain
+
+
 def _model(spark):
     uf = spark.createDataFrame([(1, 0.1, [1.0, 0.0])], "customer_id long, b_u double, p array<double>")
     itf = spark.createDataFrame([(i, i / 10.0, [float(i), 1.0]) for i in range(1, 8)],
