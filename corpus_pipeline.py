@@ -6,7 +6,7 @@ them to the documents in order, writing each result as Parquet and reading it ag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm.bpe_pairs import encode_decode
@@ -25,34 +25,42 @@ PIPELINE_BUDGET_SHARE = 0.8
 PIPELINE_MIN_GAP = 0.05
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (null ids match each other)."""
-    ids = cut_lineage(ids.select(F.col("doc_id").alias("_id")).distinct(), "kept-ids")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+def row_key() -> Column:
+    """What a decision is about: a doc_id (null after all others) and its text. Rows that
+    share an id, or have none, are told apart by their texts."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                    F.xxhash64("text").alias("text"))
+
+
+def _select(docs: DataFrame, judged: DataFrame, key: str, how: str) -> DataFrame:
+    """The rows of ``docs`` whose key is (left_semi) or is not (left_anti) in ``judged``."""
+    found = cut_lineage(judged.select(F.col(key).alias("_found")).distinct(), "judged-keys")
+    return (docs.withColumn("_key", row_key()).join(found, F.col("_key") == F.col("_found"), how)
+            .drop("_key"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic. Rows without doc_id are judged together: toxic if any is."""
-    judged = score_toxicity(docs, table(spark, sf_dir, "labels"))
-    bad = cut_lineage(judged.where("toxic").select(F.col("doc_id").alias("_id")).distinct(),
-                      "toxic-ids")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    """Documents that are not toxic."""
+    judged = score_toxicity(docs, table(spark, sf_dir, "labels"), key=row_key())
+    return _select(docs, judged.where("toxic"), "doc_id", "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: not ``und``, and not ambiguous between two languages."""
-    learn = docs.where(F.col("lang").isNotNull() & (id_remainder("doc_id", 5) != 0))
-    judged = identify(docs, learn, min_gap=PIPELINE_MIN_GAP)
-    bad = cut_lineage(judged.where((F.col("lang_pred") == "und") | F.col("ambiguous"))
-                      .select(F.col("doc_id").alias("_id")).distinct(), "no-language-ids")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    keyed = docs.withColumn("_key", row_key())
+    learn = keyed.where(F.col("lang").isNotNull() & (id_remainder("doc_id", 5) != 0))
+    judged = identify(keyed, learn, id_col="_key", min_gap=PIPELINE_MIN_GAP)
+    bad = judged.where((F.col("lang_pred") == "und") | F.col("ambiguous"))
+    return _select(docs, bad, "_key", "left_anti")
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: that with the smallest doc_id, one row of it."""
-    found = near_duplicates(docs, shingle=4, radius=4)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _keep(docs.dropDuplicates(["doc_id"]), first)
+    """One document of each component: that with the smallest doc_id (one without an id only
+    where no other has one), and one row of it."""
+    found = near_duplicates(docs.withColumn("_key", row_key()), id_col="_key", shingle=4, radius=4)
+    first = found.where(F.col("_key") == F.col("component_id"))
+    kept = _select(docs, first, "_key", "left_semi").withColumn("_text", F.xxhash64("text"))
+    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,3 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to produce (its output replaces them)."""
     taken = {n.lower() for n in names}
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
-
-
-def row_count(df: DataFrame) -> int:
-    return df.count()

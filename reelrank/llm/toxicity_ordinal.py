@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.session import cut_lineage, ship_package
@@ -167,15 +167,16 @@ def fit(rows: DataFrame, known: DataFrame, fit_rows: int = 6000, min_docs: int =
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                   text_col: str = "text", fit_rows: int = 6000,
-                   threshold: float = 0.5) -> DataFrame:
+                   text_col: str = "text", fit_rows: int = 6000, threshold: float = 0.5,
+                   key: Column | None = None) -> DataFrame:
     """One row per row of ``docs``: the id, ``expected_severity`` (0 to 3), ``grade`` (the
     likeliest), ``p_toxic`` (P(grade >= 1)) and ``toxic`` (``p_toxic >= threshold``).
 
     ``labels`` has the id and ``toxic`` (0/1; several rows of an id: toxic if any is). Null
     texts have no features. Without labels of both kinds everything has severity 0 and is
     not toxic. Repeated rows are each scored; an empty table gives no rows; other columns
-    are not read.
+    are not read. ``key`` (of ``docs``) is returned in place of the id where ids do not tell
+    rows apart; labels are always found by the id.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -184,7 +185,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              .agg((F.max("toxic") > 0).alias("_toxic")))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     held = spark.sparkContext.broadcast(fit(rows, known, fit_rows))
-    id_type = docs.schema[id_col].dataType.simpleString()
+    if key is not None:
+        rows = docs.select(key.alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    id_type = rows.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value

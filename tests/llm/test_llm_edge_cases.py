@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from reelrank.llm import (bloom_lm, bpe_pairs, language_ecoc, line_frequency, mixing,
                           permutation_index, quote_threads, simhash_bktree, toxicity_ordinal,
                           url_filters)
@@ -153,3 +154,30 @@ def test_quotes(spark):
     assert by[2, 0].body == "" and by[2, 1].reply_to is None and by[2, 5].position == 2
     assert by[None, 0].body == "lost" and by[None, 0].position is None
     assert quote_threads.link_quotes(m.limit(0)).count() == 0
+
+
+def test_stages_tell_rows_without_ids_apart(spark, tmp_path):
+    """Documents without an id, or with one id and two texts, are judged one by one."""
+    clean = [f"the house number {w} stands by the river and the {w} road runs past it all day"
+             for w in "one two three four five six seven eight nine ten".split()]
+    foul = [f"you {w} are a vile horrid idiot and a vile horrid fool" for w in
+            "ants bats cats dogs eels fish".split()]
+    rows = [(i, t, "en", "s0", len(t)) for i, t in enumerate(clean * 3 + foul * 3)]
+    labels = spark.createDataFrame([(i, 1, int(i >= 30)) for i in range(48)],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    loose = [(None, "alpha beta gamma delta epsilon zeta eta theta"), (None, foul[0]),
+             (None, clean[0]), (99, "lorem ipsum dolor sit amet consectetur"),
+             (99, "quite another text about rivers and their stones"), (None, None)]
+    docs = spark.createDataFrame(rows + [(i, t, "en", "s0", 0) for i, t in loose],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.toxicity(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in left.where("doc_id < 90").collect()) == list(range(30))
+    got = {(r.doc_id, r.text) for r in left.where("doc_id IS NULL OR doc_id = 99").collect()}
+    assert got == set(loose) - {(None, foul[0])}
+    spoken = corpus_pipeline.language(spark, left, str(tmp_path))
+    assert spoken.count() == left.count() - 1                      # the null text is no language
+    once = corpus_pipeline.near_duplicate(spark, left, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in once if r.doc_id is not None and r.doc_id < 90) == list(range(10))
+    assert {(r.doc_id, r.text) for r in once if r.doc_id is None or r.doc_id == 99} == (
+        got - {(None, clean[0])})
