@@ -7,8 +7,6 @@ that holds the wanted position. Only a handful of scalars reach the driver.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +86,3 @@ def smallest_n(df: DataFrame, key: str, tie: str, n: int, prefix_chars: int | No
     k0, t0 = thr[key], thr[tie]
     return df.filter((F.col(key) < F.lit(k0))
                      | ((F.col(key) == F.lit(k0)) & (F.col(tie) <= F.lit(t0))))
-
-
-def as_date(v) -> _dt.date:
-    return v if isinstance(v, _dt.date) else _dt.date.fromisoformat(str(v))
