@@ -171,6 +171,38 @@ def test_filter_never_loses_a_level():
     assert (bloom_lm.LogBloom(data, 1 << 17).level(np.zeros(20000, np.int64), other) > 0).mean() < 0.01
 
 
+def test_segment_keeps_every_count():
+    counts = np.array([1] * 3000 + [2] * 900 + [7] * 100)
+    keys = np.unique(np.random.default_rng(2).integers(0, 1 << 48, 5000).astype(np.uint64))[:4000]
+    size = bloom_lm.segment_bytes(counts)
+    assert bloom_lm.levels(counts).sum() <= size < 2 * bloom_lm.levels(counts).sum()
+    for room in (size, size // 8):  # a filter that is too small is less exact, but loses nothing
+        got = bloom_lm.LogBloom(bloom_lm.build_segment(keys, counts, room), room).level(
+            np.zeros(len(keys), np.int64), keys)
+        assert (got >= bloom_lm.levels(counts)).all()
+
+
+def test_lm_keeps_every_pair(spark, docs):
+    p = queries.op9_bloom_lm(spark, SF).toPandas().set_index("doc_id")
+    one, two = collections.Counter(), collections.Counter()
+    texts = {d: [*tokens(t), "end"] for d, t in zip(docs.doc_id, docs.text, strict=True)}
+    for d, w in texts.items():
+        if not p.loc[d].held_out:
+            one.update(w)
+            two.update(zip(["end", *w], w, strict=False))
+    assert len(two) > 200_000
+    value = lambda c: 0 if not c else 1 if c == 1 else 1.33 * 2 ** int(math.log2(c))
+    whole, off = sum(one.values()) + 0.1 * (len(one) + 1), []
+    for d, w in texts.items():
+        want = 0.0
+        for before, t in zip(["end", *w], w, strict=False):
+            q1, q2 = value(one[before]), value(two[before, t])
+            want += math.log10(0.2 * q2 / max(q1, q2, 1) + 0.8 * (value(one[t]) + 0.1) / whole)
+        if not p.loc[d].held_out:  # all its pairs are in the model
+            off.append(abs(p.loc[d].score - want) / len(w))
+    assert np.mean(off) < 0.01
+
+
 def test_pipeline(spark, docs):
     out = corpus_pipeline.run(spark, SF).toPandas()
     labels = spark.read.parquet(f"{SF}/labels.parquet")

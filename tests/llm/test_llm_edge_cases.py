@@ -181,3 +181,13 @@ def test_stages_tell_rows_without_ids_apart(spark, tmp_path):
     assert sorted(r.doc_id for r in once if r.doc_id is not None and r.doc_id < 90) == list(range(10))
     assert {(r.doc_id, r.text) for r in once if r.doc_id is None or r.doc_id == 99} == (
         got - {(None, clean[0])})
+
+
+def test_lm_chunks_are_cut_without_effect(docs, monkeypatch):
+    rest = F.crc32(F.col("doc_id").cast("string")) % 10
+    run = lambda d: sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in
+                           bloom_lm.score_texts(d, train=rest != 0).collect())
+    whole = run(docs)
+    assert run(docs.withColumn("doc_id", F.col("doc_id").cast("string"))) == whole
+    monkeypatch.setattr(bloom_lm, "CHUNK_BYTES", 100)
+    assert run(docs) == whole
