@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelrank.llm import bloom_lm, bpe_pairs, queries, simhash_bktree
+from reelrank.llm import bloom_lm, bpe_pairs, permutation_index, queries, simhash_bktree
 from reelrank.llm.toxicity_ordinal import fit_cumulative_link
 
 SF = "/root/testdata/sf0.01"
@@ -43,6 +43,33 @@ def test_ann_recall(spark):
     assert np.mean(recall) >= 0.9
 
 
+def vectors_with_copies(spark, n, groups):
+    """``n`` random directions, a third of them copies in ``groups`` groups, and as a table."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    copies = rng.permutation(n)[:n // 3 if groups else 0]
+    if groups:
+        x[copies] = x[copies[:groups]][np.arange(len(copies)) % groups]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    return x, set(copies.tolist()), spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_ann_recall_with_copies(spark):
+    x, copies, table = vectors_with_copies(spark, 20_000, 5)
+    got = {k: v.sort_values("rank").vec_id.tolist() for k, v in permutation_index.search(
+        table, query_every=250).toPandas().groupby("query_id")}
+    recall = []
+    for q in range(0, 20_000, 250):
+        s = (x * x[q]).sum(axis=1)
+        best = [i for i in np.lexsort((np.arange(len(x)), -s)) if i != q][:20]
+        if q in copies:  # its own group fills the list
+            assert got[q] == best
+        else:
+            recall.append(len(set(best) & set(got[q])) / 20)
+    assert len(recall) > 40 and np.mean(recall) >= 0.9
+
+
 def test_language_held_out(spark, docs):
     p = queries.op3_language_ecoc(spark, SF).toPandas().merge(docs, on="doc_id")
     assert (p.held_out == [zlib.crc32(str(d).encode()) % 5 == 0 for d in p.doc_id]).all()
