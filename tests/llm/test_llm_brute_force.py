@@ -70,6 +70,15 @@ def test_ann_recall_with_copies(spark):
     assert len(recall) > 40 and np.mean(recall) >= 0.9
 
 
+def test_ann_recall_where_the_share_binds(spark):
+    x, _, table = vectors_with_copies(spark, 20_000, 0)  # 833 a shard, of which 84 are compared
+    got = permutation_index.search(table, query_every=250).toPandas().groupby("query_id").vec_id.agg(set)
+    s = x[::250] @ x.T
+    s[np.arange(len(s)), np.arange(0, len(x), 250)] = -2
+    best = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[250 * i] & set(b.tolist())) / 20 for i, b in enumerate(best)]) >= 0.95
+
+
 def test_language_held_out(spark, docs):
     p = queries.op3_language_ecoc(spark, SF).toPandas().merge(docs, on="doc_id")
     assert (p.held_out == [zlib.crc32(str(d).encode()) % 5 == 0 for d in p.doc_id]).all()
