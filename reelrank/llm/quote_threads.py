@@ -23,7 +23,8 @@ INTRO = r"(?i)^on\b.*\bwrote:[ \t]*$"
 
 
 def parse_lines(text: Column) -> Column:
-    """Array of struct(level, content, norm): one per line, introductions of quotes left out."""
+    """Array of struct(level, content, intro, norm): one per line. ``intro`` marks the
+    introduction of a deeper quote; introductions of the outermost quotes are left out."""
     def one(line):
         marks = F.regexp_extract(line, MARKS, 0)
         return let(marks, lambda m: F.struct(
@@ -32,13 +33,15 @@ def parse_lines(text: Column) -> Column:
             .alias("content")))
 
     def keep(rows):
-        return F.filter(rows, lambda x, i: ~((x["level"] == 0) & x["content"].rlike(INTRO)
-                                             & (F.coalesce(F.get(rows, i + 1)["level"],
-                                                           F.lit(0)) > 0)))
+        marked = F.transform(rows, lambda x, i: F.struct(
+            x["level"].alias("level"), x["content"].alias("content"),
+            (x["content"].rlike(INTRO) & (F.coalesce(F.get(rows, i + 1)["level"], F.lit(0))
+                                          > x["level"])).alias("intro")))
+        return F.filter(marked, lambda x: ~((x["level"] == 0) & x["intro"]))
 
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     return let(F.transform(lines, one), lambda rows: F.transform(keep(rows), lambda x: F.struct(
-        x["level"].alias("level"), x["content"].alias("content"),
+        x["level"].alias("level"), x["content"].alias("content"), x["intro"].alias("intro"),
         F.trim(F.lower(F.regexp_replace(x["content"], BLANKS, " "))).alias("norm"))))
 
 
@@ -48,24 +51,61 @@ def own_text(lines: Column) -> Column:
     return F.regexp_replace(F.array_join(own, "\n"), r"^\s+|\s+$", "")
 
 
+def latest_authors(authored: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (``_t, _h, _o``, others) with ``_latest``: the last place before ``_o`` at
+    which the line was written (``authored``: ``_t, _h, _o``).
+
+    Range partitions and the last place of each line per partition give the answer, so no
+    task has to hold all uses of a line.
+    """
+    rows = (asked.withColumn("_by", F.lit(None).cast(authored.schema["_o"].dataType))
+            .unionByName(authored.withColumn("_by", F.col("_o")), allowMissingColumns=True)
+            .withColumn("_own", F.col("_by").isNotNull()))
+    parts = cut_lineage(rows.repartitionByRange("_t", "_h", "_o", "_own")
+                        .withColumn("_p", F.spark_partition_id()), "line-uses")
+    before = parts.groupBy("_t", "_h", "_p").agg(F.max("_by").alias("_last")).withColumn(
+        "_before", F.max("_last").over(W.partitionBy("_t", "_h").orderBy("_p")
+                                       .rowsBetween(W.unboundedPreceding, -1)))
+    # An asker comes before the author of its own place.
+    here = F.max("_by").over(W.partitionBy("_t", "_h", "_p").orderBy("_o", "_own")
+                             .rowsBetween(W.unboundedPreceding, W.currentRow))
+    return (parts.withColumn("_here", here).where(~F.col("_own"))
+            .join(before.select("_t", "_h", "_p", "_before"), ["_t", "_h", "_p"])
+            .withColumn("_latest", F.coalesce("_here", "_before"))
+            .drop("_p", "_by", "_own", "_here", "_before"))
+
+
 def links(messages: DataFrame, min_share: float) -> DataFrame:
     """(``_t, _o, _level, _to, _share``): the message that each quote level was taken from.
 
-    ``messages``: ``_t`` (conversation), ``_o`` (place), ``_lines``. A quoted line belongs
-    to the first message of the conversation that wrote it; the message with most distinct
-    lines of the level wins (ties: the latest), if it wrote ``min_share`` of them.
+    ``messages``: ``_t`` (conversation), ``_o`` (place), ``_lines``. A quoted line may come
+    from the first message of the conversation that wrote it, or from the latest before the
+    message that quotes it; the message with most distinct
+    lines of the level wins (ties: the latest), if it wrote ``min_share`` of them. Quoted
+    introductions are not lines of a level: no message can have written them.
     """
     lines = messages.select("_t", "_o", F.explode(F.array_distinct(F.transform(
-        F.filter("_lines", lambda x: x["norm"] != ""),
+        F.filter("_lines", lambda x: (x["norm"] != "") & ~x["intro"]),
         lambda x: F.struct(x["level"].alias("level"), F.xxhash64(x["norm"]).alias("h"))))
     ).alias("_x")).select("_t", "_o", F.col("_x.level").alias("_level"), F.col("_x.h").alias("_h"))
-    first = (lines.where("_level = 0").groupBy("_t", "_h").agg(F.min("_o").alias("_to"))
+    written = lines.where("_level = 0").select("_t", "_h", "_o")
+    first = (written.groupBy("_t", "_h").agg(F.min("_o").alias("_to"), F.max("_o").alias("_last"))
              .withColumnsRenamed({"_t": "_ft", "_h": "_fh"}))
     first = cut_lineage(first, "first-lines")
     quoted = cut_lineage(lines.where("_level > 0").distinct(), "quoted-lines")
-    votes = (quoted.join(first, (F.col("_t") == F.col("_ft")) & (F.col("_h") == F.col("_fh")))
-             .where("_to < _o").groupBy("_t", "_o", "_level", "_to")
-             .agg(F.count(F.lit(1)).alias("_n")))
+    found = cut_lineage(quoted.join(first, (F.col("_t") == F.col("_ft"))
+                                    & (F.col("_h") == F.col("_fh"))).where("_to < _o")
+                        .drop("_ft", "_fh"), "found-lines")
+    # Lines with later authors than the asker: the latest before it has to be looked up.
+    between = found.where("_last > _to AND _last >= _o").drop("_last")
+    shared = first.where("_last > _to").select(F.col("_ft").alias("_t"), F.col("_fh").alias("_h"))
+    between = latest_authors(written.join(shared, ["_t", "_h"], "left_semi"), between)
+    candidates = (found.select("_t", "_o", "_level", "_to").unionByName(
+        found.where("_last > _to AND _last < _o")
+        .select("_t", "_o", "_level", F.col("_last").alias("_to"))).unionByName(
+        between.where("_latest > _to")
+        .select("_t", "_o", "_level", F.col("_latest").alias("_to"))))
+    votes = candidates.groupBy("_t", "_o", "_level", "_to").agg(F.count(F.lit(1)).alias("_n"))
     best = votes.groupBy("_t", "_o", "_level").agg(
         F.max(F.struct("_n", "_to")).alias("_best"))
     total = quoted.groupBy("_t", "_o", "_level").agg(F.count(F.lit(1)).alias("_all"))

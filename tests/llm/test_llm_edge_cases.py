@@ -156,6 +156,28 @@ def test_quotes(spark):
     assert quote_threads.link_quotes(m.limit(0)).count() == 0
 
 
+def test_quoted_introductions_take_no_share(spark):
+    rows = [(1, 0, "ok\nfirst"), (1, 1, "On turn 0, u wrote:\n> ok\n> first\n\nok\nbeta"),
+            (1, 2, "On turn 1, a wrote:\n> On turn 0, u wrote:\n> > ok\n> > first\n> ok\n> beta\n\nend")]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = {r.turn: r for r in quote_threads.link_quotes(m).collect()}
+    assert [got[i].reply_to for i in range(3)] == [None, 0, 1] and got[2].depth == 2
+    assert got[2].n_quoted_lines == 5 and got[2].body == "end"
+
+
+def test_latest_author_is_a_candidate(spark):
+    # Turn 5 answers turn 3, whose two lines older and later messages wrote too.
+    texts = ["ok", "thanks", "else", "ok\nthanks", "more",
+             "On turn 3, a wrote:\n> ok\n> thanks\n\nbye", "ok", "thanks"]
+    m = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "conv_id long, turn long, text string")
+    for parts in (1, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = {r.turn: r for r in quote_threads.link_quotes(m).collect()}
+        assert got[5].reply_to == 3 and got[5].root == 3 and got[5].depth == 1
+        assert sum(r.reply_to is not None for r in got.values()) == 1
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
 def test_stages_tell_rows_without_ids_apart(spark, tmp_path):
     """Documents without an id, or with one id and two texts, are judged one by one."""
     clean = [f"the house number {w} stands by the river and the {w} road runs past it all day"
