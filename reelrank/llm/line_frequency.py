@@ -83,10 +83,16 @@ def base_counts(text: Column) -> Column:
         .alias("n_symbols"))
 
 
+def null_id_text(id_col: str, text_col: str) -> Column:
+    """What tells documents without an id apart: a hash of their text (null with an id)."""
+    return F.when(F.col(f"`{id_col}`").isNull(), F.xxhash64(F.col(f"`{text_col}`")))
+
+
 def line_documents(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """One row for each (host, line, document); copies of a line in a document count once."""
     hashes = F.array_distinct(F.transform(text_lines(F.col(f"`{text_col}`")), line_hash))
-    return (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{host_col}`").alias("_host"),
+    return (docs.select(F.col(f"`{id_col}`").alias("_id"),
+                        null_id_text(id_col, text_col).alias("_tid"), F.col(f"`{host_col}`").alias("_host"),
                         F.explode(hashes).alias("_h")).distinct())
 
 
@@ -102,7 +108,8 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     characters is left.
 
     Null text has no words and fails the base rules; a null host is a host of its own; rows
-    that repeat an id count as one document and are each judged. Columns named like an
+    that repeat an id count as one document and are each judged, rows without an id are told
+    apart by their texts. Columns named like an
     output are replaced. An empty table gives an empty result. A line or host that holds a
     large share of the rows is one key of a grouped count and a skew-split join; no group
     is collected, apart from the removed lines of one document.
@@ -115,13 +122,15 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed = cut_lineage(
         found.join(frequent, (F.col("_h") == F.col("_fh"))
                    & F.col("_host").eqNullSafe(F.col("_fhost")))
-        .groupBy(F.col("_id").alias("_rid")).agg(F.collect_set("_h").alias("_removed")),
+        .groupBy(F.col("_id").alias("_rid"), F.col("_tid").alias("_rtid")).agg(F.collect_set("_h").alias("_removed")),
         "removed-lines")
     text = F.col(f"`{text_col}`")
     base = (docs.withColumn("_key", F.col(f"`{id_col}`")).withColumn("_text", text)
+            .withColumn("_tkey", null_id_text(id_col, text_col))
             .withColumn("_f", base_counts(text)))
     base = without(base, *OUTPUTS)
-    joined = base.join(removed, F.col("_key").eqNullSafe(F.col("_rid")), "left")
+    joined = base.join(removed, F.col("_key").eqNullSafe(F.col("_rid"))
+                       & F.col("_tkey").eqNullSafe(F.col("_rtid")), "left")
     gone = F.coalesce("_removed", F.array().cast("array<long>"))
     total = F.aggregate("_f.l.lines", F.lit(0).cast("long"), lambda a, x: a + x["n"])
     left = F.aggregate("_f.l.lines", F.lit(0).cast("long"), lambda a, x: a + F.when(
@@ -139,4 +148,4 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .withColumn("kept", ~F.col("base_failed")
                         & (F.col("n_left_chars") >= min_left * F.col("n_line_chars")))
             .withColumn("clean_text", clean)
-            .drop("_key", "_rid", "_removed", "_text", "_f"))
+            .drop("_key", "_tkey", "_rid", "_rtid", "_removed", "_text", "_f"))

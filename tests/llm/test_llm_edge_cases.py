@@ -178,6 +178,15 @@ def test_latest_author_is_a_candidate(spark):
     spark.conf.set("spark.sql.shuffle.partitions", 8)
 
 
+def test_lines_of_documents_without_ids(spark):
+    rows = [(None, f"shared line\nown line number {i}", "s") for i in range(30)]
+    rows += [(None, "another\nmore", "s"), (1, "shared line\nby id", "s")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = line_frequency.line_quality(d, min_words=1).collect()
+    assert len(got) == 32 and all("shared" not in r.clean_text for r in got)
+    assert sum(r.n_left_chars == r.n_line_chars for r in got) == 1  # "another" loses nothing
+
+
 def test_stages_tell_rows_without_ids_apart(spark, tmp_path):
     """Documents without an id, or with one id and two texts, are judged one by one."""
     clean = [f"the house number {w} stands by the river and the {w} road runs past it all day"
