@@ -8,17 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelrank.llm.alignment import align_texts, score_links
 from reelrank.llm.bloom_lm import score_texts
 from reelrank.llm.bpe_pairs import encode_decode
-from reelrank.llm.common import table
+from reelrank.llm.common import ascii_lower, table
 from reelrank.llm.language_ecoc import identify
 from reelrank.llm.line_frequency import line_quality
+from reelrank.llm.merkle_manifest import COLUMNS, fold, leaf_digest, manifest, proof
 from reelrank.llm.mixing import mix_to_weights
 from reelrank.llm.permutation_index import search
 from reelrank.llm.quote_threads import link_quotes
+from reelrank.llm.sharding import shard_rows
 from reelrank.llm.simhash_bktree import near_duplicates
 from reelrank.llm.toxicity_ordinal import score_toxicity
 from reelrank.llm.url_filters import judge_urls
+from reelrank.session import cut_lineage
 
 # The URL rules (host, path, verdict).
 URL_RULES = [
@@ -39,6 +43,8 @@ MIX_WEIGHTS = {
 MIX_BUDGET_SHARE = 0.5
 MIX_EPOCHS = 2
 
+SHARDS = 16
+
 
 def default_tokenizer() -> str:
     """The byte-level BPE file: $BPE_TOKENIZER, or that of the public tokenizers package."""
@@ -48,6 +54,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def default_pieces() -> str:
+    """The sentence-piece file: $PIECE_TOKENIZER, or that of the public tokenizers package."""
+    if path := os.environ.get("PIECE_TOKENIZER"):
+        return path
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def id_remainder(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % n
 
@@ -161,9 +175,41 @@ def op10_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch", "order_key")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether a third of them, with their
+    texts in lower case, still fold to the root."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = leaf_digest([ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in COLUMNS])
+    tampered = F.coalesce(id_remainder("doc_id", 3) == 0, F.lit(False))
+    out = manifest(docs, carry={"lowered": F.when(tampered, lowered)})
+    out = out.withColumn("folded_root", fold(F.coalesce("lowered", "leaf"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root",
+                      F.sha2(proof(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links between two tokenizers, for every document."""
+    aligned = align_texts(table(spark, sf_dir, "documents"), default_tokenizer(), default_pieces())
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    written = cut_lineage(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return score_links(written).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best",
+                                       "count_sum", "groups_sha256")
+
+
+def op13_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard, slot and shard after growth of every document; its id is the key."""
+    docs = table(spark, sf_dir, "documents")
+    out = shard_rows(docs.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32("text").alias("text_crc32")), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                      "grown_shard")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quote_threads, op2_permutation_index, op3_language_ecoc, op4_toxicity_ordinal,
         op5_bpe_pairs, op6_url_filters, op7_simhash_bktree, op8_line_frequency, op9_bloom_lm,
-        op10_mix_to_weights)
+        op10_mix_to_weights, op11_merkle_manifest, op12_token_alignment, op13_jump_shards)
 }
