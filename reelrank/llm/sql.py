@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelrank.llm.queries import (MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_WEIGHTS, URL_RULES)
+from reelrank.llm.queries import MIX_BUDGET_SHARE, MIX_EPOCHS, MIX_WEIGHTS, SHARDS, URL_RULES
 
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
@@ -161,9 +161,133 @@ JOIN tree ON tree.conv_id = b.conv_id AND tree.turn = b.turn
 LEFT JOIN up ON up.conv_id = b.conv_id AND up.turn = b.turn
 """
 
+# CRC-32 of a string of bytes: the table of its polynomial, one entry a byte.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(range(9), lambda c, k: CASE WHEN k > 8 THEN c
+    WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS t
+    FROM range(256) AS v(b))"""
+
+
+def _crc32(hex_pairs: str) -> str:
+    """Unsigned CRC-32 of a list of bytes in hex, with ``crc.t`` at hand."""
+    byte = "('0x' || b)::BIGINT"
+    return (f"xor(list_reduce(list_transform({hex_pairs}, lambda b: {byte}), lambda c, b: "
+            f"xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295::BIGINT), 4294967295)")
+
+
+def _hex_pairs(text: str) -> str:
+    return f"regexp_extract_all(hex(encode({text})), '..')"
+
+
+MERKLE_LEVELS, MERKLE_TOP_LEVELS = 8, 3
+
+
+def _field(col: str) -> str:
+    return (f"CASE WHEN {col} IS NULL THEN '-' "
+            f"ELSE strlen({col}::VARCHAR)::VARCHAR || ':' || {col}::VARCHAR END")
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+def _climb(name: str, start: str, levels: int) -> str:
+    """Tables {name}0 … {name}N of (g, pos, digest, n); a part that is down to one node stays."""
+    out = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {start})"]
+    for i in range(levels):
+        out.append(f"""{name}{i + 1} AS (
+  SELECT g, pos, digest, 1::BIGINT AS n FROM {name}{i} WHERE n = 1 UNION ALL
+  SELECT *, count(*) OVER (PARTITION BY g) FROM (
+    SELECT g, pos // 8 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) AS digest
+    FROM {name}{i} WHERE n > 1 GROUP BY g, pos // 8))""")
+    return ",\n".join(out)
+
+
+def _paths(name: str, rows: str, levels: int) -> str:
+    """Siblings left and right of each row of (g, r) at each level, and whether it is climbed."""
+    out = []
+    for i in range(levels):
+        prev = rows if i == 0 else f"{name}_p{i - 1}"
+        out.append(f"""{name}_p{i} AS (
+  SELECT p.*, x.l AS l{i}, x.r AS r{i}, coalesce(x.up, FALSE) AS up{i} FROM {prev} p LEFT JOIN (
+    SELECT a.g, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos)
+                                FILTER (WHERE b.pos < a.pos), '') AS l,
+           coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r,
+           TRUE AS up
+    FROM {name}{i} a JOIN {name}{i} b ON a.g = b.g AND a.pos // 8 = b.pos // 8
+    WHERE a.n > 1 GROUP BY a.g, a.pos) x ON x.g = p.g AND x.pos = p.rank // {8 ** i})""")
+    return ",\n".join(out)
+
+
+def _fold_ctes(name: str, rows: str, levels: int) -> str:
+    out = []
+    for i in range(levels):
+        prev = rows if i == 0 else f"{name}_f{i - 1}"
+        out.append(f"""{name}_f{i} AS (SELECT * REPLACE (
+  CASE WHEN up{i} THEN sha256(l{i} || node || r{i}) ELSE node END AS node,
+  CASE WHEN up{i} THEN proof || l{i} || r{i} ELSE proof END AS proof) FROM {prev})""")
+    return ",\n".join(out)
+
+
+OP11 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT *, {_leaf('text')} AS leaf,
+             CASE WHEN {_crc32(_hex_pairs('doc_id::VARCHAR'))} % 3 = 0 THEN {_leaf(
+                 "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+             END AS lowered,
+             CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g FROM documents, crc),
+rows_ AS (SELECT doc_id, leaf, coalesce(lowered, leaf) AS node, '' AS proof, g,
+                 row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+          FROM d),
+first_ AS (SELECT g, rank AS pos, leaf AS digest FROM rows_),
+{_climb('t', 'first_', MERKLE_LEVELS)},
+subs AS (SELECT g AS part, digest AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS place
+         FROM t{MERKLE_LEVELS}),
+tops AS (SELECT '' AS g, place AS pos, subroot AS digest FROM subs),
+{_climb('s', 'tops', MERKLE_TOP_LEVELS)},
+{_paths('t', 'rows_', MERKLE_LEVELS)},
+{_fold_ctes('t', f't_p{MERKLE_LEVELS - 1}', MERKLE_LEVELS)},
+mid AS (SELECT doc_id, leaf, node, proof, subroot, place AS rank, '' AS g
+        FROM t_f{MERKLE_LEVELS - 1} f JOIN subs ON subs.part = f.g),
+{_paths('s', 'mid', MERKLE_TOP_LEVELS)},
+{_fold_ctes('s', f's_p{MERKLE_TOP_LEVELS - 1}', MERKLE_TOP_LEVELS)}
+SELECT doc_id, leaf, subroot, (SELECT digest FROM s{MERKLE_TOP_LEVELS}) AS root,
+       sha256(proof) AS proof_sha256, node AS folded_root,
+       node = (SELECT digest FROM s{MERKLE_TOP_LEVELS}) AS verified
+FROM s_f{MERKLE_TOP_LEVELS - 1}
+"""
+
+
+def _jumps(shards: int) -> str:
+    return f"""walk{shards} AS (
+  SELECT n, seed, 0::BIGINT AS shard, 0::BIGINT AS next FROM k
+  UNION ALL
+  SELECT n, s, next, floor((next + 1) * (2147483648::DOUBLE / ((s // 8589934592) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT n, next, ((seed::HUGEINT * 2862933555777941757 + 1)
+                         % 18446744073709551616::HUGEINT)::HUGEINT AS s
+        FROM (SELECT n, next, seed % 18446744073709551616::HUGEINT AS seed FROM walk{shards}
+              WHERE next < {shards}))),
+jump{shards} AS (SELECT n, max(shard) AS shard FROM walk{shards} WHERE shard < {shards} GROUP BY n)"""
+
+
+OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+k AS (SELECT row_number() OVER () AS n, doc_id, text,
+             CASE WHEN coalesce(doc_id, -1) < 0 THEN 18446744073709551616::HUGEINT
+                  + coalesce(doc_id, -1) ELSE doc_id::HUGEINT END AS seed FROM documents),
+{_jumps(SHARDS)},
+{_jumps(SHARDS + 1)}
+SELECT doc_id, (coalesce(strlen(text), 0) + 1)::BIGINT AS size,
+       {_crc32(_hex_pairs('text'))}::BIGINT AS text_crc32, 'key' AS law, a.shard::INT AS shard,
+       row_number() OVER (PARTITION BY a.shard ORDER BY coalesce(doc_id, -1)) - 1 AS slot,
+       b.shard::INT AS grown_shard
+FROM k JOIN jump{SHARDS} a ON a.n = k.n JOIN jump{SHARDS + 1} b ON b.n = k.n, crc
+"""
+
 ORACLE = {
     "op1_quote_threads": OP1,
     "op6_url_filters": OP6,
     "op8_line_frequency": OP8,
     "op10_mix_to_weights": OP10,
+    "op11_merkle_manifest": OP11,
+    "op13_jump_shards": OP13,
 }
