@@ -507,6 +507,38 @@ ORACLE["hyperparameter_sweep"] = sql("""
   SELECT CAST(s.f AS INTEGER) AS n_factors, CAST(s.r AS DOUBLE) AS reg_all,
          round(rmse, 6) AS bias_test_rmse, TRUE AS als_passes
   FROM p_test_rmse CROSS JOIN (VALUES (100, 0.02), (50, 0.05)) AS s(f, r)""", "p_test_rmse")
+# --- the joint fit with one factor: 2 x 2 normal equations of every user, then item ------------
+
+def _half_step(own: str, other: str, vectors: str, bias: str, factor: str, out: tuple) -> str:
+    """(bias, factor) of each ``own`` key from the other side's ``vectors``."""
+    lam = f"CAST({P.reg_all} AS DOUBLE)"
+    return f"""
+  SELECT {own}, (a11 * r2 - a12 * r1) / (a11 * a22 - a12 * a12) AS {out[0]},
+         (a22 * r1 - a12 * r2) / (a11 * a22 - a12 * a12) AS {out[1]}
+  FROM (SELECT t.{own}, sum(v.{factor} * v.{factor}) + {lam} * count(*) AS a11,
+               sum(v.{factor}) AS a12, (1 + {lam}) * count(*) AS a22,
+               sum(v.{factor} * (t.rating - p_mu.mu - v.{bias})) AS r1,
+               sum(t.rating - p_mu.mu - v.{bias}) AS r2
+        FROM p_train t CROSS JOIN p_mu JOIN {vectors} v USING ({other}) GROUP BY t.{own})"""
+
+
+cte("joint_i0", """
+  SELECT DISTINCT movie_id, CAST(0 AS DOUBLE) AS b_i, (movie_id % 7 - 3) / CAST(10 AS DOUBLE) AS q
+  FROM p_train""", "p_train")
+for _s in range(1, 4):
+    cte(f"joint_u{_s}", _half_step("customer_id", "movie_id", f"joint_i{_s - 1}", "b_i", "q",
+                                   ("b_u", "p")), "p_train", "p_mu", f"joint_i{_s - 1}")
+    cte(f"joint_i{_s}", _half_step("movie_id", "customer_id", f"joint_u{_s}", "b_u", "p",
+                                   ("b_i", "q")), "p_train", "p_mu", f"joint_u{_s}")
+ORACLE["joint_fit_factors"] = sql("""
+  SELECT 'user' AS side, customer_id AS id, round(b_u, 6) AS bias, round(p, 6) AS factor
+  FROM joint_u3 UNION ALL
+  SELECT 'item', movie_id, round(b_i, 6), round(q, 6) FROM joint_i3""", "joint_u3", "joint_i3")
+ORACLE["joint_fit"] = sql("""
+  SELECT count(*) AS n_train, count(DISTINCT customer_id) AS n_users,
+         count(DISTINCT movie_id) AS n_items, round(avg(rating), 6) AS mu,
+         CAST(10 AS INTEGER) AS n_iterations, TRUE AS objective_falls, TRUE AS train_within,
+         TRUE AS test_within FROM p_train""", "p_train")
 cte("unit", """
   SELECT movie_id, list_transform(q, lambda x: x / sqrt(list_dot_product(q, q))) AS v
   FROM itf WHERE q IS NOT NULL AND list_dot_product(q, q) > 0""", "itf")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import fill, filtering, metrics, profile, sampling, split
+from reelrank.operators.joint import fit_joint
+from reelrank.operators.model import fit_mf as _fit_als
 from reelrank.operators.scoring import estimate_pairs
 from reelrank.operators.topk import (popularity_overlap, popularity_topk, recommend_topk,
                                      series_of, similar_items)
@@ -458,7 +460,6 @@ def _planted_fits(d: Derived, settings):
     theirs.
     """
     from reelrank.operators.model import fit_biases
-    from reelrank.operators.model import fit_mf as _fit
     train, test = (cut_lineage(x, "planted") for x in planted_split(d))
     p = d.params
 
@@ -469,7 +470,7 @@ def _planted_fits(d: Derived, settings):
 
     bias = fit_biases(train, p.reg_all, p.bias_sweeps)
     flat = gap(bias.as_mf())
-    fits = [(rank, reg, gap(_fit(train, rank=rank, reg=reg, max_iter=p.n_epochs,
+    fits = [(rank, reg, gap(_fit_als(train, rank=rank, reg=reg, max_iter=p.n_epochs,
                                  bias_sweep_count=p.bias_sweeps, seed=p.seed)))
             for rank, reg in settings]
     return train, test, bias, flat, fits
@@ -479,11 +480,21 @@ def _beats(fit, flat) -> bool:
     return fit["test_rmse"] < 0.6 * flat["test_rmse"] and fit["train_rmse"] < flat["train_rmse"]
 
 
+# The configured fit on planted ratings, once per application and input (two queries use it).
+_CONFIGURED: dict[tuple, tuple] = {}
+
+
+def _configured_fit(d: Derived):
+    key = (d.spark.sparkContext.applicationId, d._processed()[0])
+    if key not in _CONFIGURED:
+        _CONFIGURED[key] = _planted_fits(d, [(d.params.n_factors, d.params.reg_all)])
+    return _CONFIGURED[key]
+
+
 @query
 def fit_mf(spark, sf_dir):
     """The configured fit (50 factors, 20 iterations) on planted ratings, held to a gate."""
-    d = Derived(spark, sf_dir)
-    train, test, bias, flat, fits = _planted_fits(d, [(d.params.n_factors, d.params.reg_all)])
+    train, test, bias, flat, fits = _configured_fit(Derived(spark, sf_dir))
     return spark.createDataFrame(
         [(train.count(), test.count(), round(bias.global_mean, 6), round(flat["test_rmse"], 6),
           _beats(fits[0][2], flat))],
@@ -493,14 +504,67 @@ def fit_mf(spark, sf_dir):
 @query
 def train_test_gap(spark, sf_dir):
     """D20 for the bias-only model, and whether the configured fit beats it on both sides."""
-    d = Derived(spark, sf_dir)
-    *_, flat, fits = _planted_fits(d, [(d.params.n_factors, d.params.reg_all)])
+    *_, flat, fits = _configured_fit(Derived(spark, sf_dir))
     return spark.createDataFrame(
         [(round(flat["train_rmse"], 6), round(flat["test_rmse"], 6), round(flat["gap"], 6),
           _beats(fits[0][2], flat))],
         "bias_train_rmse double, bias_test_rmse double, bias_gap double, als_passes boolean")
 
 
+# The joint fit that SQL can follow: one factor, from a start that follows from the item id.
+JOINT_ROUNDS = 3
+
+
+def joint_start(items: DataFrame) -> DataFrame:
+    """q = ((movie_id mod 7) - 3) / 10."""
+    return items.select("movie_id", F.array((F.col("movie_id") % 7 - 3) / F.lit(10.0)).alias("q"))
+
+
+@query
+def joint_fit_factors(spark, sf_dir):
+    """Every bias and factor of the joint fit after three iterations with one factor."""
+    d = Derived(spark, sf_dir)
+    train = cut_lineage(planted_split(d)[0], "planted")
+    model = fit_joint(train, rank=1, reg=d.params.reg_all, max_iter=JOINT_ROUNDS,
+                      start=joint_start(train.select("movie_id").distinct()))
+    return model.user_factors.select(
+        F.lit("user").alias("side"), F.col("customer_id").alias("id"), r6("b_u").alias("bias"),
+        r6(F.get("p", 0)).alias("factor")).unionByName(model.item_factors.select(
+            F.lit("item").alias("side"), F.col("movie_id").alias("id"), r6("b_i").alias("bias"),
+            r6(F.get("q", 0)).alias("factor")))
+
+
+# Factors and iterations with which the joint fit is held against ALS on residuals, and how much
+# larger its errors may be.
+JOINT_RANK, JOINT_ITERATIONS, JOINT_BOUND = 8, 10, 1.02
+
+
+@query
+def joint_fit(spark, sf_dir):
+    """The joint fit on planted ratings: its objective falls at every iteration, and neither error
+    is more than 2 % above that of ALS on the residuals of closed-form biases."""
+    d = Derived(spark, sf_dir)
+    p = d.params
+    train, test = (cut_lineage(x, "planted") for x in planted_split(d))
+
+    def gap(model):
+        return metrics.train_test_gap(*(estimate_pairs(
+            x, model, p.rating_scale, p.broadcast_limit_bytes) for x in (train, test))).first()
+
+    joint = fit_joint(train, rank=JOINT_RANK, reg=p.reg_all, max_iter=JOINT_ITERATIONS, seed=p.seed)
+    mine = gap(joint)
+    als = gap(_fit_als(train, rank=JOINT_RANK, reg=p.reg_all, max_iter=JOINT_ITERATIONS,
+                       bias_sweep_count=p.bias_sweeps, seed=p.seed))
+    steps = joint.params["objective"]
+    return spark.createDataFrame(
+        [(train.count(), joint.n_users, joint.n_items, round(joint.global_mean, 6), len(steps),
+          all(b <= a * (1 + 1e-9) for a, b in zip(steps, steps[1:], strict=False)),
+          mine["train_rmse"] <= JOINT_BOUND * als["train_rmse"],
+          mine["test_rmse"] <= JOINT_BOUND * als["test_rmse"])],
+        "n_train bigint, n_users bigint, n_items bigint, mu double, n_iterations int, "
+        "objective_falls boolean, train_within boolean, test_within boolean")
+
+
 @query
 def hyperparameter_sweep(spark, sf_dir):
     """The documented settings on planted ratings, one row each (H15)."""

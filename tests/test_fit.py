@@ -5,6 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from reelrank.operators import joint
+from reelrank.operators.joint import fit_joint
 from reelrank.operators.model import bias_sweeps, fit_biases, fit_mf, load_model, save_model
 from reelrank.operators.scoring import estimate_pairs
 
@@ -73,3 +75,46 @@ def test_fit_with_ids_beyond_int_range(spark, planted):
     assert mf.user_factors.filter(F.col("p").isNull()).count() == 0
     b, m = _rmse(estimate_pairs(te, bias)), _rmse(estimate_pairs(te, mf))
     assert m < 0.6 * b, (m, b)
+
+
+def _objective(train, model, lam):
+    j = (train.join(model.user_factors, "customer_id").join(model.item_factors, "movie_id").toPandas())
+    p, q = np.vstack(j.p), np.vstack(j.q)
+    e = j.rating.astype(float) - model.global_mean - j.b_u - j.b_i - (p * q).sum(1)
+    return float((e ** 2 + lam * (j.b_u ** 2 + j.b_i ** 2 + (p ** 2).sum(1) + (q ** 2).sum(1))).sum())
+
+
+def test_joint_fit_falls_and_reaches_als(spark, planted):
+    train, test = planted
+    model = fit_joint(train, rank=3, reg=0.05, max_iter=6, seed=42)
+    steps = model.params["objective"]
+    assert len(steps) == 6 and all(b <= a for a, b in zip(steps, steps[1:]))
+    assert abs(steps[-1] - _objective(train, model, 0.05)) < 1e-6 * steps[-1]
+    als = fit_mf(train, rank=3, reg=0.05, max_iter=10, seed=42)
+    assert _rmse(estimate_pairs(test, model)) <= 1.02 * _rmse(estimate_pairs(test, als))
+    assert _objective(train, model, 0.05) <= _objective(train, als, 0.05)
+
+
+def test_joint_fit_does_not_depend_on_how_it_is_dealt(spark, planted, monkeypatch):
+    """Hot keys in blocks of their own over several tasks, small blocks, ratings folded early and
+    cells of several rows give the same vectors."""
+    train, _ = planted
+    items = train.select("movie_id").distinct()
+    start = items.select("movie_id", F.array((F.col("movie_id") % 7 - 3) / 10.0, F.lit(0.1)).alias("q"))
+
+    def fit(**kw):
+        m = fit_joint(train, rank=2, reg=0.05, max_iter=2, start=start, **kw)
+        u = m.user_factors.orderBy("customer_id").toPandas()
+        i = m.item_factors.orderBy("movie_id").toPandas()
+        return np.column_stack([u.b_u, np.vstack(u.p)]), np.column_stack([i.b_i, np.vstack(i.q)])
+
+    want = fit()
+    hot = fit(hot_ratings=30)
+    monkeypatch.setattr(joint, "HOLD_RATINGS", 40)
+    monkeypatch.setattr(joint, "CELL_RATINGS", 7)
+    monkeypatch.setattr(joint, "BLOCK_BYTES", 8 * 9 * 30)
+    small = fit(hot_ratings=45)
+    for got in (hot, small):
+        assert all(np.allclose(a, b, atol=1e-9) for a, b in zip(want, got, strict=True))
+    with pytest.raises(ValueError):
+        fit_joint(train.limit(0), rank=2)
