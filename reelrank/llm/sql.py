@@ -162,8 +162,8 @@ LEFT JOIN up ON up.conv_id = b.conv_id AND up.turn = b.turn
 """
 
 # CRC-32 of a string of bytes: the table of its polynomial, one entry a byte.
-_CRC_TABLE = """crc AS (SELECT list(list_reduce(range(9), lambda c, k: CASE WHEN k > 8 THEN c
-    WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS t
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1
+    THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS t
     FROM range(256) AS v(b))"""
 
 
