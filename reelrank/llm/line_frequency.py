@@ -11,12 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import BLANKS, let, without, words
+from reelrank.llm.common import BLANKS, Shelved, let, words
 from reelrank.session import cut_lineage
 
-OUTPUTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-           "base_failed", "n_line_chars", "n_left_chars", "kept", "clean_text")
-
 
 def repeated_words(word_array: Column) -> Column:
     """Words that lie in a three-word window found twice or more in the same text.
@@ -114,6 +111,8 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     large share of the rows is one key of a grouped count and a skew-split join; no group
     is collected, apart from the removed lines of one document.
     """
+    shelf = Shelved(docs)
+    docs, id_col, text_col, host_col = shelf.table, *map(shelf.at, (id_col, text_col, host_col))
     found = cut_lineage(line_documents(docs, id_col, text_col, host_col), "line-docs")
     frequent = cut_lineage(
         found.groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n"))
@@ -128,7 +127,6 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = (docs.withColumn("_key", F.col(f"`{id_col}`")).withColumn("_text", text)
             .withColumn("_tkey", null_id_text(id_col, text_col))
             .withColumn("_f", base_counts(text)))
-    base = without(base, *OUTPUTS)
     joined = base.join(removed, F.col("_key").eqNullSafe(F.col("_rid"))
                        & F.col("_tkey").eqNullSafe(F.col("_rtid")), "left")
     gone = F.coalesce("_removed", F.array().cast("array<long>"))
@@ -138,14 +136,10 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n, repeat = F.col("_f.w.n_words"), F.col("_f.w.n_repeat_words")
     clean = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(
         F.split("_text", "\n", -1), lambda x: ~F.array_contains(gone, line_hash(x))), "\n"))
-    return (joined
-            .withColumn("n_words", n).withColumn("word_chars", F.col("_f.word_chars"))
-            .withColumn("n_symbols", F.col("_f.n_symbols"))
-            .withColumn("n_dup_lines", F.col("_f.l.n_dup_lines"))
-            .withColumn("n_repeat_words", repeat)
-            .withColumn("base_failed", (n < min_words) | (repeat > max_repeat * n))
-            .withColumn("n_line_chars", total).withColumn("n_left_chars", left)
-            .withColumn("kept", ~F.col("base_failed")
-                        & (F.col("n_left_chars") >= min_left * F.col("n_line_chars")))
-            .withColumn("clean_text", clean)
-            .drop("_key", "_tkey", "_rid", "_rtid", "_removed", "_text", "_f"))
+    failed = (n < min_words) | (repeat > max_repeat * n)
+    sized = joined.withColumns({"_total": total, "_left": left})
+    return shelf.finish(
+        sized, n_words=n, word_chars=F.col("_f.word_chars"), n_symbols=F.col("_f.n_symbols"),
+        n_dup_lines=F.col("_f.l.n_dup_lines"), n_repeat_words=repeat, base_failed=failed,
+        n_line_chars=F.col("_total"), n_left_chars=F.col("_left"),
+        kept=~failed & (F.col("_left") >= min_left * F.col("_total")), clean_text=clean)

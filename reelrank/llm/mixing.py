@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import without, words
+from reelrank.llm.common import Shelved, words
+from reelrank.llm.ranks import rank_within
 from reelrank.session import cut_lineage
 
 # One bucket of the seeded order holds about so many documents.
@@ -24,7 +25,7 @@ HASH_SPACE = 2 ** 32
 
 
 def _key(column: str) -> Column:
-    c = F.col(f"`{column}`")
+    c = F.col(column)
     return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), c.cast("string")))
 
 
@@ -34,6 +35,11 @@ def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
                              F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
+def _place(seed: int, epoch: Column) -> Column:
+    """The order inside a leaf: that of the ids, equal ids by a hash of their texts."""
+    return F.concat(order_key(seed, epoch, F.col("_id")), F.hex("_text"))
+
+
 def _weight(paths: Mapping[tuple[str, ...], float], keys: list[Column]) -> Column:
     """The configured weight of a node, 1 unless given; paths are values from the top."""
     own = {p: float(w) for p, w in paths.items() if len(p) == len(keys)}
@@ -114,26 +120,29 @@ def mix_to_weights(docs: DataFrame, levels: Sequence[str],
     Adds ``n_tokens`` (words of the whole text), ``epoch`` (from 0) and ``order_key``. The
     budget is ``budget_share`` of all tokens. A leaf takes ``floor(budget / tokens)`` whole
     epochs (``max_epochs`` at most), then of the next epoch the documents in seeded order
-    while their running sum stays within the rest of its budget; documents with the same id
-    have the same place and are taken or left together.
-
-    A null in a level column is a branch of its own; null texts have no tokens; null ids
-    share one place; a weight of 0 closes a branch. Leaves without tokens are left out. An
-    empty table gives no rows. Columns named like an output are replaced. No leaf is sorted
-    as a whole: token sums of hash buckets locate the bucket in which the prefix ends, and
-    only that bucket (about a thousand documents) is ordered.
+    while their running sum stays within the rest of its budget. Documents with equal ids, or
+    without one, are ordered by their texts; of rows that agree in both as many are taken as
+    the rest has room for.
+
+    A null in a level column is a branch of its own; null texts have no tokens; a weight of 0
+    closes a branch. Leaves without tokens are left out. An empty table gives no rows. Columns
+    named like an output are replaced, all others are kept whatever they are called. No leaf is
+    sorted as a whole: token sums of hash buckets locate the bucket in which the prefix ends,
+    and only the different places of that bucket are ordered. Equal rows at the end of a
+    prefix are counted off over ranges, not in one task.
     """
     keys = [f"_k{i}" for i in range(len(levels))]
-    keyed = without(docs.withColumns({k: _key(c) for k, c in zip(keys, levels, strict=True)})
-                    .withColumn("_id", F.col(f"`{id_col}`")).withColumn(
-                        "_tokens", F.size(words(F.col(f"`{text_col}`"))).cast("long")),
-                    "n_tokens", "epoch", "order_key")
-    sized = cut_lineage(keyed.select(*keys, "_id", "_tokens"), "mix-sizes")
+    shelf = Shelved(docs)
+    text = F.col(shelf.at(text_col))
+    keyed = (shelf.table.withColumns({k: _key(shelf.at(c)) for k, c in zip(keys, levels, strict=True)})
+             .withColumns({"_id": F.col(shelf.at(id_col)),
+                           "_text": F.xxhash64(text), "_tokens": F.size(words(text)).cast("long")}))
+    sized = cut_lineage(keyed.select(*keys, "_id", "_text", "_tokens"), "mix-sizes")
     plan = cut_lineage(leaf_plan(sized, keys, weights, budget_share, max_epochs), "mix-plan")
 
     placed = (sized.join(plan.select(*keys, "_epochs", "_rest", "_buckets"), keys)
               .where((F.col("_rest") > 0) & (F.col("_buckets") > 0))
-              .withColumn("_order", order_key(seed, F.col("_epochs"), F.col("_id")))
+              .withColumn("_order", _place(seed, F.col("_epochs")))
               .withColumn("_b", _bucket(F.col("_order"), F.col("_buckets"))))
     sums = placed.groupBy(*keys, "_b", "_rest").agg(F.sum("_tokens").alias("_s"))
     run = W.partitionBy(*keys).orderBy("_b")
@@ -143,24 +152,47 @@ def mix_to_weights(docs: DataFrame, levels: Sequence[str],
                     (F.col("_e._cum") - F.col("_e._s")).alias("_before")))
     edge = cut_lineage(edge, "mix-edge")
     last = W.partitionBy(*keys).orderBy("_order")
-    cut = (placed.join(edge.withColumnRenamed("_edge", "_b"), [*keys, "_b"])
-           .groupBy(*keys, "_order", "_rest", "_before").agg(F.sum("_tokens").alias("_s"))
-           .withColumn("_cum", F.col("_before") + F.sum("_s").over(last))
-           .where("_cum <= _rest").groupBy(*keys).agg(F.max("_order").alias("_cut")))
+    ordered = cut_lineage(
+        placed.join(edge.withColumnRenamed("_edge", "_b"), [*keys, "_b"])
+        .groupBy(*keys, "_order", "_rest", "_before").agg(
+            F.sum("_tokens").alias("_s"), F.count(F.lit(1)).alias("_n"),
+            F.max("_tokens").alias("_each"))
+        .withColumn("_cum", F.col("_before") + F.sum("_s").over(last)), "mix-places")
+    cut = (ordered.where("_cum <= _rest").groupBy(*keys)
+           .agg(F.max("_order").alias("_cut"), F.max("_cum").alias("_used")))
+    # The first place that is too large as a whole: equal rows of which some may still fit.
+    over = (ordered.where("_cum > _rest").groupBy(*keys)
+            .agg(F.min_by(F.struct("_order", "_n", "_each", "_before"), "_order").alias("_o"))
+            .join(cut.select(*keys, "_used"), keys, "left")
+            .select(*keys, F.col("_o._order").alias("_split"), F.col("_o._n").alias("_n"),
+                    F.col("_o._each").alias("_each"),
+                    F.coalesce("_used", "_o._before").alias("_used")))
     ends = cut_lineage(
         plan.select(*keys, "_epochs", "_rest", "_buckets").join(edge, keys, "left")
-        .join(cut, keys, "left"), "mix-ends")
+        .join(cut.drop("_used"), keys, "left").join(over, keys, "left")
+        .withColumn("_room", F.when((F.col("_n") > 1) & (F.col("_each") > 0), F.floor(
+            (F.col("_rest") - F.col("_used")) / F.col("_each"))))
+        .withColumn("_split", F.when(F.col("_room") > 0, F.col("_split")))
+        .drop("_n", "_each", "_used"), "mix-ends")
 
-    order = order_key(seed, F.col("_epochs"), F.col("_id"))
+    order = _place(seed, F.col("_epochs"))
     bucket = _bucket(order, F.col("_buckets"))
     in_prefix = (F.col("_rest") > 0) & (
         F.col("_edge").isNull() | (bucket < F.col("_edge"))
         | ((bucket == F.col("_edge")) & (order <= F.coalesce("_cut", F.lit("")))))
     copies = F.col("_epochs") + F.when(in_prefix, 1).otherwise(0)
-    return (keyed.join(ends, keys).withColumn("_copies", copies).where("_copies > 0")
-            .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                      F.col("_copies") - 1)))
-            .withColumn("order_key", order_key(seed, F.col("epoch"), F.col("_id")))
-            .withColumnRenamed("_tokens", "n_tokens")
-            .drop(*keys, "_id", "_copies", "_epochs", "_rest", "_buckets", "_edge", "_before",
-                  "_cut"))
+
+    def result(rows: DataFrame) -> DataFrame:
+        return shelf.finish(rows, n_tokens=F.col("_tokens"), epoch=F.col("epoch"),
+                            order_key=order_key(seed, F.col("epoch"), F.col("_id")))
+
+    whole = result(keyed.join(ends, keys).withColumn("_copies", copies).where("_copies > 0")
+                   .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                             F.col("_copies") - 1))))
+    split = ends.where("_split IS NOT NULL")
+    if split.isEmpty():
+        return whole
+    equal = cut_lineage(keyed.join(split, keys).where(order == F.col("_split"))
+                        .withColumn("_leaf", F.to_json(F.struct(*keys))), "mix-equal")
+    some = rank_within(equal, "_leaf", [], "mix-equal-order").where(F.col("rank") < F.col("_room"))
+    return whole.unionByName(result(some.withColumn("epoch", F.col("_epochs"))))

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import BLANKS, let, without
+from reelrank.llm.common import BLANKS, Shelved, let
 from reelrank.session import cut_lineage
 
-OUTPUTS = ("body", "n_quoted_lines", "quote_levels", "reply_to", "root", "depth",
-           "position")
+# Lines with more authors in a conversation are common ones.
+COMMON_AUTHORS = 16
 # A run of quote marks, and the line that introduces a quote.
 MARKS = r"^(?:[ \t]*>)+"
 INTRO = r"(?i)^on\b.*\bwrote:[ \t]*$"
@@ -75,46 +75,91 @@ def latest_authors(authored: DataFrame, asked: DataFrame) -> DataFrame:
             .drop("_p", "_by", "_own", "_here", "_before"))
 
 
-def links(messages: DataFrame, min_share: float) -> DataFrame:
+def links(messages: DataFrame, min_share: float, common: int = COMMON_AUTHORS) -> DataFrame:
     """(``_t, _o, _level, _to, _share``): the message that each quote level was taken from.
 
-    ``messages``: ``_t`` (conversation), ``_o`` (place), ``_lines``. A quoted line may come
-    from the first message of the conversation that wrote it, or from the latest before the
-    message that quotes it; the message with most distinct
-    lines of the level wins (ties: the latest), if it wrote ``min_share`` of them. Quoted
-    introductions are not lines of a level: no message can have written them.
+    ``messages``: ``_t`` (conversation), ``_o`` (place), ``_lines``. Every earlier message of
+    the conversation may be the one quoted: that with most distinct lines of the level wins
+    (ties: the latest), if it wrote ``min_share`` of them. Quoted introductions are not lines
+    of a level: no message can have written them.
+
+    A line of at most ``common`` authors names all of them, and these are given their votes of
+    the common lines too. Messages that share nothing but common lines with a level are found
+    without listing them: see ``by_common_lines``.
     """
     lines = messages.select("_t", "_o", F.explode(F.array_distinct(F.transform(
         F.filter("_lines", lambda x: (x["norm"] != "") & ~x["intro"]),
         lambda x: F.struct(x["level"].alias("level"), F.xxhash64(x["norm"]).alias("h"))))
     ).alias("_x")).select("_t", "_o", F.col("_x.level").alias("_level"), F.col("_x.h").alias("_h"))
-    written = lines.where("_level = 0").select("_t", "_h", "_o")
-    first = (written.groupBy("_t", "_h").agg(F.min("_o").alias("_to"), F.max("_o").alias("_last"))
-             .withColumnsRenamed({"_t": "_ft", "_h": "_fh"}))
-    first = cut_lineage(first, "first-lines")
-    quoted = cut_lineage(lines.where("_level > 0").distinct(), "quoted-lines")
-    found = cut_lineage(quoted.join(first, (F.col("_t") == F.col("_ft"))
-                                    & (F.col("_h") == F.col("_fh"))).where("_to < _o")
-                        .drop("_ft", "_fh"), "found-lines")
-    # Lines with later authors than the asker: the latest before it has to be looked up.
-    between = found.where("_last > _to AND _last >= _o").drop("_last")
-    shared = first.where("_last > _to").select(F.col("_ft").alias("_t"), F.col("_fh").alias("_h"))
-    between = latest_authors(written.join(shared, ["_t", "_h"], "left_semi"), between)
-    candidates = (found.select("_t", "_o", "_level", "_to").unionByName(
-        found.where("_last > _to AND _last < _o")
-        .select("_t", "_o", "_level", F.col("_last").alias("_to"))).unionByName(
-        between.where("_latest > _to")
-        .select("_t", "_o", "_level", F.col("_latest").alias("_to"))))
-    votes = candidates.groupBy("_t", "_o", "_level", "_to").agg(F.count(F.lit(1)).alias("_n"))
-    best = votes.groupBy("_t", "_o", "_level").agg(
-        F.max(F.struct("_n", "_to")).alias("_best"))
-    total = quoted.groupBy("_t", "_o", "_level").agg(F.count(F.lit(1)).alias("_all"))
-    return (best.join(total, ["_t", "_o", "_level"])
-            .select("_t", "_o", "_level", F.col("_best._to").alias("_to"),
+    lines = cut_lineage(lines.distinct(), "message-lines")
+    by = ["_t", "_o", "_level"]
+    quoted = lines.where("_level > 0")
+    asked = quoted.select("_t", "_h").distinct()
+    written = cut_lineage(lines.where("_level = 0").select("_t", "_h", "_o")
+                          .join(asked, ["_t", "_h"], "left_semi"), "quoted-authors")
+    authors = written.groupBy("_t", "_h").agg(F.count(F.lit(1)).alias("_authors"),
+                                              F.min("_o").alias("_first"))
+    found = cut_lineage(quoted.join(authors, ["_t", "_h"]).where("_first < _o").drop("_first"),
+                        "found-lines")
+    total = quoted.groupBy(*by).agg(F.count(F.lit(1)).alias("_all"))
+    rare, often = found.where(F.col("_authors") <= common), found.where(F.col("_authors") > common)
+    wrote = written.select(F.col("_t").alias("_wt"), F.col("_h").alias("_wh"),
+                           F.col("_o").alias("_to"))
+    same_line = (F.col("_t") == F.col("_wt")) & (F.col("_h") == F.col("_wh"))
+    named = cut_lineage(rare.join(wrote, same_line).where("_to < _o")
+                        .groupBy(*by, "_to").agg(F.count(F.lit(1)).alias("_n")), "named-authors")
+    also = (named.select(*by, "_to").join(often.select(*by, "_h"), by)
+            .join(wrote.withColumnRenamed("_to", "_wo"), same_line & (F.col("_to") == F.col("_wo")))
+            .groupBy(*by, "_to").agg(F.count(F.lit(1)).alias("_n")))
+    votes = named.unionByName(also).groupBy(*by, "_to").agg(F.sum("_n").alias("_n"))
+    votes = votes.unionByName(by_common_lines(often, written, total, min_share, common))
+    best = votes.groupBy(*by).agg(F.max(F.struct("_n", "_to")).alias("_best"))
+    return (best.join(total, by)
+            .select(*by, F.col("_best._to").alias("_to"),
                     (F.col("_best._n") / F.col("_all")).alias("_share"))
             .where(F.col("_share") >= min_share))
 
 
+def by_common_lines(often: DataFrame, written: DataFrame, total: DataFrame, min_share: float,
+                    common: int) -> DataFrame:
+    """(``_t, _o, _level, _to, _n``): of the messages before ``_o`` that wrote most of a level's
+    common lines the latest, where these lines may be ``min_share`` of the level.
+
+    Levels that quote the same set of common lines are one question, messages that wrote the
+    same set one answer; votes are counted between different sets only. The answers with the
+    same votes are then one sequence of places, in which the latest before ``_o`` is looked up.
+    """
+    def sets(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+        # The common lines of one message.
+        return (rows.groupBy(*by).agg(F.sort_array(F.collect_list("_h")).alias("_hs"))
+                .withColumn(name, F.xxhash64("_hs")))
+
+    questions = cut_lineage(
+        sets(often, ["_t", "_o", "_level"], "_q").join(total, ["_t", "_o", "_level"])
+        .where(F.size("_hs") >= min_share * F.col("_all")).drop("_all"), "common-questions")
+    used = (questions.select("_t", F.explode("_hs").alias("_h")).distinct())
+    answers = cut_lineage(sets(written.join(used, ["_t", "_h"], "left_semi"), ["_t", "_o"], "_a"),
+                          "common-answers")
+    kinds = answers.groupBy("_t", "_a").agg(F.min("_o").alias("_first"), F.first("_hs").alias("_hs"))
+    pairs = cut_lineage(
+        questions.select("_t", "_q", "_hs").distinct()
+        .select("_t", "_q", F.explode("_hs").alias("_h"))
+        .join(kinds.select("_t", "_a", "_first", F.explode("_hs").alias("_h")), ["_t", "_h"])
+        .groupBy("_t", "_q", "_a").agg(F.count(F.lit(1)).alias("_n"), F.first("_first").alias("_first")),
+        "common-votes")
+    firsts = pairs.groupBy("_t", "_q", "_n").agg(F.min("_first").alias("_first"))
+    most = cut_lineage(
+        questions.select("_t", "_o", "_level", "_q").join(firsts, ["_t", "_q"])
+        .where("_first < _o").groupBy("_t", "_o", "_level", "_q").agg(F.max("_n").alias("_n"))
+        .withColumn("_h", F.xxhash64("_q", "_n")), "common-most")
+    places = (pairs.withColumn("_h", F.xxhash64("_q", "_n")).select("_t", "_a", "_h")
+              .join(most.select("_t", "_h").distinct(), ["_t", "_h"], "left_semi")
+              .join(answers.select("_t", "_a", "_o"), ["_t", "_a"]).select("_t", "_h", "_o"))
+    latest = latest_authors(places, most.select("_t", "_h", "_o", "_level", "_n"))
+    return latest.where("_latest IS NOT NULL").select(
+        "_t", "_o", "_level", F.col("_latest").alias("_to"), "_n")
+
+
 def reply_trees(nodes: DataFrame) -> DataFrame:
     """(``_t, _o, _root, _depth``) from (``_t, _o, _up``), by pointer doubling.
 
@@ -172,8 +217,10 @@ def link_quotes(messages: DataFrame, thread_col: str = "conv_id", order_col: str
     (conversation, line) or (conversation, place), so a conversation that holds a large
     share of the rows is spread over tasks.
     """
-    parsed = without(messages, *OUTPUTS).withColumn("_lines", parse_lines(F.col(f"`{text_col}`")))
-    keyed = parsed.withColumns({"_t": F.col(f"`{thread_col}`"), "_o": F.col(f"`{order_col}`")})
+    shelf = Shelved(messages)
+    keyed = shelf.table.withColumns({
+        "_lines": parse_lines(F.col(shelf.at(text_col))), "_t": F.col(shelf.at(thread_col)),
+        "_o": F.col(shelf.at(order_col))})
     placed = cut_lineage(keyed.where("_t IS NOT NULL AND _o IS NOT NULL")
                          .select("_t", "_o", "_lines"), "messages")
     found = links(placed, min_share)
@@ -183,11 +230,9 @@ def link_quotes(messages: DataFrame, thread_col: str = "conv_id", order_col: str
     tree = reply_order(reply_trees(nodes)).join(nodes, ["_t", "_o"])
     tree = cut_lineage(tree.withColumnsRenamed({"_t": "_jt", "_o": "_jo"}), "reply-tree")
     quoted = F.filter("_lines", lambda x: x["level"] > 0)
-    return (keyed.join(tree, (F.col("_t") == F.col("_jt")) & (F.col("_o") == F.col("_jo")), "left")
-            .withColumn("body", own_text(F.col("_lines")))
-            .withColumn("n_quoted_lines", F.size(quoted).cast("long"))
-            .withColumn("quote_levels", F.coalesce(F.array_max(
-                F.transform("_lines", lambda x: x["level"])), F.lit(0)))
-            .withColumnsRenamed({"_up": "reply_to", "_root": "root", "_depth": "depth",
-                                 "_position": "position"})
-            .drop("_lines", "_t", "_o", "_jt", "_jo"))
+    levels = F.array_max(F.transform("_lines", lambda x: x["level"]))
+    return shelf.finish(
+        keyed.join(tree, (F.col("_t") == F.col("_jt")) & (F.col("_o") == F.col("_jo")), "left"),
+        body=own_text(F.col("_lines")), n_quoted_lines=F.size(quoted).cast("long"),
+        quote_levels=F.coalesce(levels, F.lit(0)), reply_to=F.col("_up"), root=F.col("_root"),
+        depth=F.col("_depth"), position=F.col("_position"))

@@ -126,7 +126,7 @@ WITH RECURSIVE t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM
 lines AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM t),
 norm AS (SELECT DISTINCT conv_id, turn,
                 trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS x FROM lines),
-own AS (SELECT conv_id, x, min(turn) AS src FROM norm WHERE x <> '' GROUP BY conv_id, x),
+own AS (SELECT conv_id, x, turn AS src FROM norm WHERE x <> ''),
 votes AS (SELECT q.conv_id, q.turn + back AS turn, back, o.src, count(*) AS n
           FROM norm q, (VALUES (1), (2)) AS b(back), own o
           WHERE o.conv_id = q.conv_id AND o.x = q.x AND q.x <> '' AND o.src < q.turn + back

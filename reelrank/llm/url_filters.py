@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import ascii_lower, without
-
-OUTPUTS = ("host", "path", "rule", "verdict")
+from reelrank.llm.common import Shelved, ascii_lower
 
 
 def url_host(url: Column) -> Column:
@@ -57,6 +55,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
     prefixes that some rule could have are expanded: more labels or more slashes than any
     rule has cannot match, so long URLs stay linear.
     """
+    shelf = Shelved(pages)
+    pages, url_col = shelf.table, shelf.at(url_col)
     r = rules.select(
         ascii_lower(F.col("host")).alias("_rhost"), F.col("path").alias("_rpath"),
         F.col("verdict").alias("_rverdict")).where(
@@ -94,10 +94,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
         F.struct(rule.alias("rule"), F.col("_rverdict").alias("verdict")),
         F.struct(-F.length(rule), -F.length("_rhost"),
                  (F.col("_rverdict") != "block").cast("int"), rule)).alias("_best"))
-    kept = without(pages.withColumn("_page_url", F.col(f"`{url_col}`")), *OUTPUTS)
-    return (kept.join(best, F.col("_page_url") == F.col("_url"), "left")
-            .withColumn("host", F.coalesce(url_host(F.col("_page_url")), F.lit("")))
-            .withColumn("path", F.coalesce(url_path(F.col("_page_url")), F.lit("")))
-            .withColumn("rule", F.col("_best.rule"))
-            .withColumn("verdict", F.coalesce(F.col("_best.verdict"), F.lit(default_verdict)))
-            .drop("_page_url", "_url", "_best"))
+    own = F.col(url_col)
+    return shelf.finish(
+        pages.join(best, own == F.col("_url"), "left"),
+        host=F.coalesce(url_host(own), F.lit("")), path=F.coalesce(url_path(own), F.lit("")),
+        rule=F.col("_best.rule"), verdict=F.coalesce(F.col("_best.verdict"), F.lit(default_verdict)))

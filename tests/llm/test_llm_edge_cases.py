@@ -222,3 +222,62 @@ def test_lm_chunks_are_cut_without_effect(docs, monkeypatch):
     assert run(docs.withColumn("doc_id", F.col("doc_id").cast("string"))) == whole
     monkeypatch.setattr(bloom_lm, "CHUNK_BYTES", 100)
     assert run(docs) == whole
+
+
+def reply_links(spark, texts):
+    m = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)],
+                              "conv_id long, turn long, text string")
+    return {r.turn: r.reply_to for r in quote_threads.link_quotes(m).collect()}
+
+
+def plain_links(texts):
+    """All earlier messages vote for all lines of a level; the innermost level that has a link."""
+    split = [t.split("\n") for t in texts]
+    own = [{x.lower() for x in s if x and not x.startswith(">")} for s in split]
+    out = {}
+    for i, s in enumerate(split):
+        lines = {x[2:].lower() for x in s if x.startswith("> ")} - {""}
+        best = max(((len(lines & own[j]), j) for j in range(i)), default=(0, 0)) if lines else (0, 0)
+        out[i] = best[1] if best[0] and best[0] >= 0.5 * len(lines) else None
+    return out
+
+
+def test_any_earlier_author_is_a_candidate(spark):
+    """The parent is neither the first nor the latest author of its lines."""
+    texts = ["alpha one two", "beta three", "alpha one two\nbeta three", "alpha one two", "beta three",
+             "> alpha one two\n> beta three\nyes"]
+    assert reply_links(spark, texts)[5] == 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_among_many_authors(spark, seed, monkeypatch):
+    """Few different lines, each by dozens of authors, rare ones between them, ties and latest."""
+    rng = np.random.default_rng(seed)
+    words = [f"line {k}" for k in range(4 + 2 * seed)]
+    texts = []
+    for i in range(150):
+        own = [words[k] for k in rng.choice(len(words), rng.integers(0, 4), replace=False)]
+        if rng.random() < 0.2:
+            own.append(f"rare {rng.integers(0, 12)}")
+        quoted = []
+        if i and rng.random() < 0.6:
+            quoted = [x for x in texts[rng.integers(0, i)].split("\n") if x and x[0] != ">"]
+            quoted = quoted[:rng.integers(1, 5)] + ([f"line {rng.integers(0, 9)}"]
+                                                    if rng.random() < 0.3 else [])
+        texts.append("\n".join([f"> {x}" for x in quoted] + own))
+    monkeypatch.setattr(quote_threads, "COMMON_AUTHORS", 16)
+    assert reply_links(spark, texts) == plain_links(texts)
+
+
+def test_mixing_fills_the_budget_with_equal_ids(spark):
+    """Rows without an id, with one id, and equal in everything: half the tokens are taken."""
+    def picked(rows, share=0.5):
+        d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        return mixing.mix_to_weights(d, ("lang",), {}, share, 1).collect()
+
+    assert len(picked([(None, f"text number {i}", "a") for i in range(6)])) == 3
+    assert len(picked([(7, f"text number {i}", "a") for i in range(6)])) == 3
+    assert len(picked([(7, "the same text", "a")] * 600 + [(None, "the same text", "b")] * 400)) == 500
+    assert sorted(r.epoch for r in picked([(7, "same", "a")] * 10, 1.0)) == [0] * 10
+    got = picked([(None, "four words of text", "a")] * 9 + [(i, "two words", "a") for i in range(9)])
+    assert 26 - 4 < sum(r.n_tokens for r in got) <= 27
