@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm.bpe_pairs import encode_decode
-from reelrank.llm.common import table
+from reelrank.llm.common import Shelved, table
 from reelrank.llm.language_ecoc import identify
 from reelrank.llm.mixing import mix_to_weights
 from reelrank.llm.queries import (MIX_EPOCHS, MIX_LEVELS, MIX_WEIGHTS, bpe_digests,
@@ -34,40 +34,52 @@ def row_key() -> Column:
 
 def _select(docs: DataFrame, judged: DataFrame, key: str, how: str) -> DataFrame:
     """The rows of ``docs`` whose key is (left_semi) or is not (left_anti) in ``judged``."""
-    found = cut_lineage(judged.select(F.col(key).alias("_found")).distinct(), "judged-keys")
-    return (docs.withColumn("_key", row_key()).join(found, F.col("_key") == F.col("_found"), how)
-            .drop("_key"))
+    found = cut_lineage(judged.select(F.col(key).alias("found")).distinct(), "judged-keys")
+    shelf = Shelved(docs)
+    own = F.struct(F.col(shelf.at("doc_id")).isNull().alias("none"),
+                   F.col(shelf.at("doc_id")).alias("id"),
+                   F.xxhash64(shelf.at("text")).alias("text"))
+    return shelf.finish(shelf.table.withColumn("own", own)
+                        .join(found, F.col("own") == F.col("found"), how))
+
+
+def _judged(docs: DataFrame, *columns: str) -> DataFrame:
+    """What a judgement reads: the key of each row, its text and ``columns``."""
+    return docs.select(row_key().alias("key"), "text", *columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
-    judged = score_toxicity(docs, table(spark, sf_dir, "labels"), key=row_key())
+    judged = score_toxicity(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"),
+                            key=row_key())
     return _select(docs, judged.where("toxic"), "doc_id", "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: not ``und``, and not ambiguous between two languages."""
-    keyed = docs.withColumn("_key", row_key())
+    keyed = _judged(docs, "doc_id", "lang")
     learn = keyed.where(F.col("lang").isNotNull() & (id_remainder("doc_id", 5) != 0))
-    judged = identify(keyed, learn, id_col="_key", min_gap=PIPELINE_MIN_GAP)
+    judged = identify(keyed, learn, id_col="key", min_gap=PIPELINE_MIN_GAP)
     bad = judged.where((F.col("lang_pred") == "und") | F.col("ambiguous"))
-    return _select(docs, bad, "_key", "left_anti")
+    return _select(docs, bad, "key", "left_anti")
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: that with the smallest doc_id (one without an id only
     where no other has one), and one row of it."""
-    found = near_duplicates(docs.withColumn("_key", row_key()), id_col="_key", shingle=4, radius=4)
-    first = found.where(F.col("_key") == F.col("component_id"))
-    kept = _select(docs, first, "_key", "left_semi").withColumn("_text", F.xxhash64("text"))
-    return kept.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    found = near_duplicates(_judged(docs), id_col="key", shingle=4, radius=4)
+    first = found.where(F.col("key") == F.col("component_id"))
+    shelf = Shelved(_select(docs, first, "key", "left_semi"))
+    return shelf.finish(shelf.table.withColumn("hash", F.xxhash64(shelf.at("text")))
+                        .dropDuplicates([shelf.at("doc_id"), "hash"]))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents (repeated by epoch) that meet the target weights."""
-    out = mix_to_weights(with_domain(docs), MIX_LEVELS, MIX_WEIGHTS, PIPELINE_BUDGET_SHARE,
-                         MIX_EPOCHS)
-    return out.select(*docs.columns)
+    shelf = Shelved(docs)
+    own = shelf.table.withColumns({c: F.col(shelf.at(c)) for c in ("doc_id", "text", "lang", "source")})
+    out = mix_to_weights(with_domain(own), MIX_LEVELS, MIX_WEIGHTS, PIPELINE_BUDGET_SHARE, MIX_EPOCHS)
+    return shelf.finish(out)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
