@@ -7,16 +7,14 @@ row per block carries the last non-null value of all earlier blocks into the nex
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrank.session import cut_lineage, ship_package
+from reelrank.session import cut_lineage
 
-# One row per split is broadcast up to this many splits (24 bytes each).
+# Intervals are broadcast up to so many (about 50 bytes each).
 MAX_BROADCAST_BLOCKS = 1_000_000
 
 
@@ -58,62 +56,45 @@ def forward_fill(df: DataFrame, value_col: str, order_cols: list[str], out_col:
     return fill_down_blocks(ranged, value_col, out_col, ["_blk"], "_pos").drop("_blk", "_pos")
 
 
-def fill_down_scan(df: DataFrame, value_col: str, out_col: str, group_col: str,
+def fill_down_scan(table: DataFrame, value_col: str, out_col: str, group_col: str,
                    block_col: str, pos_col: str) -> DataFrame:
-    """Forward fill of rows that a scan delivers in order: no shuffle of the rows.
+    """Forward fill of a written table whose rows know their place: no shuffle of the rows.
 
-    A task reads a split from its start to its end, so the last value travels along the
-    Arrow batches of the task. One row per (``group_col``, ``block_col``) carries the last
-    value of earlier splits into the next; that small table is broadcast after counting it.
+    Every value holds from its place to the next one of its split; what a split begins with
+    comes from the splits before it. These intervals are cut at multiples of a power of two
+    (about the rows between two values), so a row finds its interval by an equi-join on
+    (split, piece) with few candidates. The intervals are few against the rows and are
+    broadcast after counting them; beyond the limit the join is a shuffle join.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    keyed = df.withColumn("_g", F.xxhash64(group_col)).withColumn(
-        "_v", F.col(value_col).cast("bigint"))
-    per_block = cut_lineage(keyed.groupBy("_g", block_col).agg(
-        F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(pos_col))).alias("_last")),
-        "fill-blocks")
+    rows = table.withColumn("_g", F.xxhash64(group_col))
+    known = F.col(value_col).isNotNull()
+    splits = cut_lineage(rows.groupBy("_g", block_col).agg(
+        F.min(pos_col).alias("_lo"), F.max(pos_col).alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        F.count(value_col).alias("_values"),
+        F.max_by(value_col, F.when(known, F.col(pos_col))).alias("_last")), "fill-blocks")
     earlier = (Window.partitionBy("_g").orderBy(block_col)
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_block.select(
-        F.col("_g").alias("_cg"), F.col(block_col).alias("_cb"),
-        F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    if per_block.count() <= MAX_BROADCAST_BLOCKS:
-        carry = F.broadcast(carry)
-    names = keyed.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, b, v = (names.index(c) for c in ("_g", block_col, "_v"))
-        key, value = None, None
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            groups = batch.column(g).to_numpy(zero_copy_only=False)
-            splits = batch.column(b).to_numpy(zero_copy_only=False)
-            known = batch.column(v).is_valid().to_numpy(zero_copy_only=False)
-            values = batch.column(v).fill_null(0).to_numpy(zero_copy_only=False)
-            begins = np.concatenate([[key != (groups[0], splits[0])],
-                                     (np.diff(groups) != 0) | (np.diff(splits) != 0)])
-            if begins[0]:
-                value = None
-            # The latest known row at or before each row, if the split began no later.
-            at = np.arange(n)
-            last = np.maximum.accumulate(np.where(known, at, -1))
-            start = np.maximum.accumulate(np.where(begins, at, -1))
-            own = (last >= 0) & (last >= start)
-            before = ~own & (start < 0) & (value is not None)
-            filled = np.where(own, values[np.maximum(last, 0)], 0 if value is None else value)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(filled, pa.int64(), mask=~(own | before))],
-                [*names, "_local"])
-            value = int(filled[-1]) if (own | before)[-1] else None
-            key = (groups[-1], splits[-1])
-
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema.fields)
-    local = keyed.mapInArrow(run, f"{fields}, _local bigint")
-    dtype = df.schema[value_col].dataType
-    return (local.join(carry, (F.col("_g") == F.col("_cg")) & (F.col(block_col) == F.col("_cb")),
-                       "left")
-            .withColumn(out_col, F.coalesce("_local", "_carry").cast(dtype))
-            .select(*df.columns, out_col))
+    carried = splits.select("_g", block_col, (F.col("_lo") - 1).alias("_from"), "_hi",
+                            F.last("_last", ignorenulls=True).over(earlier).alias("_value"))
+    own = (rows.where(known).select("_g", block_col, F.col(pos_col).alias("_from"),
+                                    F.col(value_col).alias("_value"))
+           .join(splits.select("_g", block_col, "_hi"), ["_g", block_col]))
+    following = F.lead("_from").over(Window.partitionBy("_g", block_col).orderBy("_from"))
+    size = splits.agg(F.sum("_n").alias("n"), F.sum("_values").alias("v"),
+                      F.count(F.lit(1)).alias("s")).first()
+    bits = int(math.log2(max(1, (size["n"] or 1) // max(1, size["v"] or 1))))
+    pieces = 3 * ((size["v"] or 0) + size["s"])          # upper bound: rows / 2^bits <= 2 values
+    spans = (carried.unionByName(own)
+             .withColumn("_to", F.coalesce(following - 1, F.col("_hi")))
+             .where((F.col("_to") >= F.col("_from")) & F.col("_value").isNotNull())
+             .withColumn("_piece", F.explode(F.sequence(F.shiftright("_from", bits),
+                                                        F.shiftright("_to", bits))))
+             .select(F.col("_g").alias("_sg"), F.col(block_col).alias("_sb"), "_piece", "_from",
+                     "_to", "_value"))
+    if pieces <= MAX_BROADCAST_BLOCKS:
+        spans = F.broadcast(spans)
+    place = F.col(pos_col)
+    return (rows.join(spans, (F.col("_g") == F.col("_sg")) & (F.col(block_col) == F.col("_sb"))
+                      & (F.shiftright(place, bits) == F.col("_piece"))
+                      & (place >= F.col("_from")) & (place <= F.col("_to")), "left")
+            .select(*table.columns, F.col("_value").alias(out_col)))

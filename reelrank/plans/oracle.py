@@ -507,6 +507,20 @@ ORACLE["hyperparameter_sweep"] = sql("""
   SELECT CAST(s.f AS INTEGER) AS n_factors, CAST(s.r AS DOUBLE) AS reg_all,
          round(rmse, 6) AS bias_test_rmse, TRUE AS als_passes
   FROM p_test_rmse CROSS JOIN (VALUES (100, 0.02), (50, 0.05)) AS s(f, r)""", "p_test_rmse")
+ORACLE["ingest_report"] = sql("""
+  SELECT m.n + m.odd + r.n AS n_lines, m.n + m.odd AS n_headers, m.odd AS n_malformed_headers,
+         r.n_bad_customer, r.n_bad_rating, r.n_bad_date, CAST(0 AS BIGINT) AS n_no_movie,
+         r.n - r.n_bad_customer - r.n_bad_rating - r.n_bad_date AS n_kept, t.n_title_lines,
+         t.n_short_titles
+  FROM (SELECT count(*) AS n, count(*) FILTER (WHERE customer_id % 41 = 0) AS n_bad_customer,
+               count(*) FILTER (WHERE customer_id % 41 <> 0 AND customer_id % 31 = 0) AS n_bad_rating,
+               count(*) FILTER (WHERE customer_id % 41 <> 0 AND customer_id % 31 <> 0
+                                AND customer_id % 37 = 0) AS n_bad_date FROM ratings) r,
+       (SELECT count(DISTINCT movie_id) AS n,
+               count(DISTINCT movie_id) FILTER (WHERE movie_id % 43 = 0) AS odd FROM ratings) m,
+       (SELECT count(*) AS n_title_lines, count(*) FILTER (WHERE movie_id % 17 = 0)
+               AS n_short_titles FROM titles) t""", "ratings", "titles")
+
 # --- the joint fit with one factor: 2 x 2 normal equations of every user, then item ------------
 
 def _half_step(own: str, other: str, vectors: str, bias: str, factor: str, out: tuple) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import fill, filtering, metrics, profile, sampling, split
@@ -415,6 +415,43 @@ def parse_block_text_query(spark, sf_dir):
     return blocktext.parse_block_text(spark, path)
 
 
+def flawed_lines(ratings: DataFrame) -> DataFrame:
+    """Block text of ``ratings`` with broken customers, ratings, dates and extra headers."""
+    c = F.col("customer_id")
+    fields = [F.when(c % 41 == 0, "abc").otherwise(c.cast("string")),
+              F.when(c % 31 == 0, "x").otherwise(F.col("rating").cast("string")),
+              F.when(c % 37 == 0, "2005").otherwise(F.date_format("date", "yyyy-MM-dd"))]
+    movie = F.col("movie_id").cast("string")
+    rows = ratings.select("movie_id", F.lit(2).alias("k"), c.alias("c"),
+                          F.concat_ws(",", *fields).alias("line"))
+    ids = ratings.select("movie_id").distinct()
+    heads = ids.select("movie_id", F.lit(0).alias("k"), F.lit(0).alias("c"),
+                       F.concat(movie, F.lit(":")).alias("line"))
+    odd = ids.where("movie_id % 43 = 0").select("movie_id", F.lit(1).alias("k"), F.lit(0).alias("c"),
+                                                F.concat(F.lit("m"), movie, F.lit(":")).alias("line"))
+    return (heads.unionByName(odd).unionByName(rows).repartitionByRange("movie_id")
+            .sortWithinPartitions("movie_id", "k", "c").select("line"))
+
+
+@query
+def ingest_report(spark, sf_dir):
+    """What the parse of flawed text dropped, rule by rule, as counted by the writing jobs."""
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "flawed")
+    flawed_lines(d.ratings).write.text(f"{base}/text")
+    line = F.concat_ws(",", F.col("movie_id").cast("string"), F.col("year").cast("string"),
+                       F.when(F.col("movie_id") % 17 != 0, F.col("title")))
+    d.titles.select(line.alias("line")).write.text(f"{base}/titles")
+    found = blocktext.parse_to(spark, f"{base}/text", f"{base}/parsed")
+    counts = Observation("titles")
+    cut_lineage(titles_src.read_titles(spark, f"{base}/titles", counts=counts), "titles")
+    found |= counts.get
+    names = ("n_lines", "n_headers", "n_malformed_headers", "n_bad_customer", "n_bad_rating",
+             "n_bad_date", "n_no_movie", "n_kept", "n_title_lines", "n_short_titles")
+    return spark.createDataFrame([tuple(int(found[n]) for n in names)],
+                                 ", ".join(f"{n} bigint" for n in names))
+
+
 @query("qualifying_users")
 def qualifying_users_query(spark, sf_dir):
     d = Derived(spark, sf_dir)
