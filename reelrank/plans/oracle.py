@@ -416,7 +416,15 @@ ORACLE.update({
 })
 
 ORACLE.update({
-    "stream_rating_ingest": ORACLE["parse_block_text"],
+    "stream_rating_ingest": """
+      SELECT CAST(movie_id AS INTEGER) AS movie_id, CAST(customer_id AS INTEGER) AS customer_id,
+             CAST(rating AS FLOAT) AS rating, date
+      FROM (SELECT o_custkey AS customer_id, l_partkey AS movie_id, CAST(o_orderdate AS DATE) AS date,
+                   least(5, 1 + floor((l_quantity - 1) / 10)) AS rating,
+                   row_number() OVER (PARTITION BY o_custkey, l_partkey
+                                      ORDER BY CAST(o_orderdate AS DATE) DESC, l_orderkey % 4 DESC,
+                                               l_quantity DESC) AS k
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE k = 1""",
     "stream_requests_topk": sql("""
       SELECT c.customer_id AS request_id, c.customer_id, CAST(c.rn AS INTEGER) AS rank,
              c.movie_id, coalesce(t.title, '<unknown>') AS title,
@@ -430,8 +438,10 @@ ORACLE.update({
         "rec_cand", "titles"),
     "stream_rolling_rmse": sql("""
       SELECT date AS day, CASE WHEN is_cold_user THEN 'cold' ELSE 'warm' END AS segment,
-             round(sqrt(avg((est - rating) * (est - rating))), 6) AS rmse, count(*) AS n
-      FROM scored GROUP BY 1, 2""", "scored"),
+             round(sqrt(avg((est - rating) * (est - rating))), 6) AS rmse, count(*) AS n,
+             TRUE AS late_counted
+      FROM scored WHERE date >= (SELECT min(date) FROM scored) + 60 OR customer_id % 10 <> 0
+      GROUP BY 1, 2""", "scored"),
 })
 
 cte("scored_train", """

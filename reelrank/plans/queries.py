@@ -636,14 +636,34 @@ def model_roundtrip(spark, sf_dir):
 
 # --- streaming (S1–S3) ----------------------------------------------------------------
 
+INGEST_FILES = 4
+
+
+def raw_pairs(spark, sf_dir: str) -> DataFrame:
+    """A rating for every line item: pairs repeat, over dates and files (order id mod 4)."""
+    from reelrank.sources.tables import table
+    line, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("movie_id"),
+        F.least(F.lit(5), F.lit(1) + F.floor((F.col("l_quantity") - 1) / 10)).cast("float")
+        .alias("rating"), F.col("o_orderdate").cast("date").alias("date"),
+        (F.col("l_orderkey") % INGEST_FILES).cast("int").alias("file"))
+
+
 @query
 def stream_rating_ingest(spark, sf_dir):
-    d = Derived(spark, sf_dir)
+    """Repeated pairs arrive in four files, the stream is stopped and started again between them,
+    and the latest rating of every pair is read from the keyed state."""
     base = scratch_path(spark, "ingest")
-    blocktext.write_block_text(d.ratings, f"{base}/src")
-    sjobs.run_rating_ingest(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt")
-    sjobs.compact_ingested(spark, f"{base}/out", f"{base}/state")
-    return sjobs.read_ingested(spark, f"{base}/out", f"{base}/state")
+    rows = cut_lineage(raw_pairs(spark, sf_dir), "raw-pairs")
+    for i in range(INGEST_FILES):
+        blocktext.write_block_text(rows.where(F.col("file") == i).drop("file"),
+                                   f"{base}/src/part{i}", files=1)
+        if i % 2:
+            sjobs.run_rating_ingest(spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt")
+            sjobs.run_latest_ratings(spark, f"{base}/out", f"{base}/state",
+                                     partitions=spark.sparkContext.defaultParallelism)
+    return sjobs.read_latest_ratings(spark, f"{base}/state")
 
 
 def request_rows(d: Derived) -> DataFrame:
@@ -699,23 +719,32 @@ def write_arrivals(rows: DataFrame, path: str, time_col: str) -> None:
         fs.setTimes(f, last - 1000 * (len(files) - i), -1)
 
 
+LATE_DAYS, LATE_MODULUS = 60, 10
+
+
 @query
 def stream_rolling_rmse(spark, sf_dir):
-    """Test rows arrive as files in date order (each file ≤ 1M rows, one per batch)."""
+    """Test rows arrive as files in date order (each file ≤ 1M rows, one per batch). A last file
+    brings rows of the first sixty days: the watermark has passed them, and they are left out."""
     d = Derived(spark, sf_dir)
     base = scratch_path(spark, "rolling")
-    rows = d.test.select("customer_id", "movie_id", "rating",
-                         # UTC midnight of the date, independent of the session time zone
-                         F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400)
-                         .alias("ts"), "is_cold_user")
-    write_arrivals(rows, f"{base}/src", "ts")
-    sjobs.run_rolling_rmse(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt", d.emb_model,
-                           d.params.rating_scale,
-                           state_partitions=spark.sparkContext.defaultParallelism)
+    first = d.test.agg(F.min("date")).first()[0]
+    late = ((F.datediff("date", F.lit(first)) < LATE_DAYS)
+            & (F.col("customer_id") % LATE_MODULUS == 0))
+    rows = cut_lineage(d.test.select(
+        "customer_id", "movie_id", "rating",
+        # UTC midnight of the date, independent of the session time zone
+        F.timestamp_seconds(F.unix_date("date").cast("bigint") * 86400).alias("ts"),
+        "is_cold_user", late.alias("late")), "arrivals")
+    write_arrivals(rows.where(~F.col("late")).drop("late"), f"{base}/src/ontime", "ts")
+    rows.where("late").drop("late").coalesce(1).write.parquet(f"{base}/src/late")
+    dropped = sjobs.run_rolling_rmse(spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt",
+                                     d.emb_model, d.params.rating_scale,
+                                     state_partitions=spark.sparkContext.defaultParallelism)
     r = sjobs.read_rolling_rmse(spark, f"{base}/out")
     day = F.date_from_unix_date(F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
-    return r.select(day.alias("day"), "segment",
-                    r6("rmse").alias("rmse"), "n")
+    return r.select(day.alias("day"), "segment", r6("rmse").alias("rmse"), "n",
+                    F.lit(dropped > 0).alias("late_counted"))
 
 
 @query

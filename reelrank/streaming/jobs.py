@@ -8,29 +8,52 @@ from the batch folders with a keyed "latest wins" aggregation.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators.model import MFModel
 from reelrank.operators.scoring import estimate_pairs
 from reelrank.operators.topk import ItemBlocks, recommend_topk, seen_sets_of
-from reelrank.session import scratch_path
+from reelrank.session import cut_lineage, scratch_path
 from reelrank.sources.blocktext import parse_lines
 
 MAX_K = 50
-SEEN_FOLDERS = 64
 MAX_BROADCAST_USERS = 1_000_000
+USERS_PER_SEEN_FILE = 50_000
+SEEN_GROUP_BYTES = 1 << 20
+MAX_NAMED_USERS = 100           # a filter names so many users at most
 
 
 def _batch_dir(out: str, batch_id: int) -> str:
     return f"{out.rstrip('/')}/batch_id={batch_id}"
 
 
-def _run(writer, checkpoint: str) -> None:
+def _run(writer, checkpoint: str):
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return q
+
+
+@contextmanager
+def _conf(spark: SparkSession, values: dict):
+    """Settings that a query takes over when it starts."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 # --- S1: rating ingest ----------------------------------------------------------------
@@ -106,8 +129,87 @@ def read_ingested(spark: SparkSession, out_dir: str, state_dir: str | None = Non
     return _latest(_ingested_rows(spark, out_dir, state_dir)).drop("batch_id")
 
 
+# The state lives in RocksDB; a commit uploads the changes of its batch only.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+INGESTED_SCHEMA = "movie_id {0}, customer_id {0}, rating float, date date, batch_id long"
+
+
+def run_latest_ratings(spark: SparkSession, out_dir: str, state_dir: str, id_type: str = "int",
+                       partitions: int | None = None, files_per_batch: int = 1000) -> None:
+    """Ingested batches → the latest rating of every (customer, movie) as keyed state.
+
+    One row per key is kept in the state store below ``state_dir`` and only the keys of a batch
+    are touched: newest date, then newest batch, then highest rating. A batch that is replayed,
+    or rows that come twice, change nothing, because a maximum is kept. ``partitions`` sizes the
+    state when the query first starts.
+    """
+    rows = (spark.readStream.schema(INGESTED_SCHEMA.format(id_type))
+            .option("maxFilesPerTrigger", files_per_batch).parquet(out_dir))
+    best = rows.groupBy("customer_id", "movie_id").agg(
+        F.max(F.struct("date", "batch_id", "rating")).alias("best"))
+    sized = {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
+    with _conf(spark, KEYED_STATE | sized):
+        _run(best.writeStream.outputMode("update").format("noop"), state_dir)
+
+
+def read_latest_ratings(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The state as a table: one row per (customer, movie), nothing is aggregated."""
+    state = spark.read.format("statestore").load(state_dir)
+    # The value of an aggregate's state has one field, the kept maximum.
+    best = F.col(f"value.`{state.schema['value'].dataType.names[0]}`")
+    return state.select("key.movie_id", "key.customer_id", best["rating"].alias("rating"),
+                        best["date"].alias("date"))
+
+
 # --- S2: recommendation requests ------------------------------------------------------
 
+
+class SeenStore:
+    """Seen sets by user: files of ``USERS_PER_SEEN_FILE`` users in id order, with Parquet bloom
+    filters and small row groups. A batch reads the files whose range holds one of its users;
+    a small batch names its users, so that row groups without them are passed over."""
+
+    def __init__(self, seen: DataFrame, path: str, users_per_file: int = USERS_PER_SEEN_FILE):
+        spark = seen.sparkSession
+        sets = cut_lineage(seen_sets_of(seen), "seen-sets")
+        files = max(1, -(-sets.count() // users_per_file))
+        (sets.repartitionByRange(files, "customer_id").sortWithinPartitions("customer_id").write
+         .option("parquet.bloom.filter.enabled#customer_id", "true")
+         .option("parquet.bloom.filter.expected.ndv#customer_id", str(users_per_file))
+         .option("parquet.block.size", str(SEEN_GROUP_BYTES)).parquet(path))
+        self.spark, self.schema = spark, "customer_id long, seen array<bigint>"
+        # One row per file.
+        self.ranges = (spark.read.schema(self.schema).parquet(path)
+                       .groupBy(F.col("_metadata.file_path").alias("file"))
+                       .agg(F.min("customer_id").alias("lo"), F.max("customer_id").alias("hi"))
+                       .collect())
+
+    def of(self, users: DataFrame, n_users: int) -> DataFrame:
+        """The seen sets of ``users`` (customer_id, distinct), of which there are ``n_users``."""
+        ids = None
+        if n_users <= MAX_NAMED_USERS:
+            ids = sorted(r[0] for r in users.collect())
+            files = [r.file for r in self.ranges if any(r.lo <= i <= r.hi for i in ids)]
+        else:
+            table = self.spark.createDataFrame(self.ranges, "file string, lo long, hi long")
+            files = [r[0] for r in users.join(F.broadcast(table), F.col("customer_id").between(
+                F.col("lo"), F.col("hi"))).select("file").distinct().collect()]
+        if not files:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*files)
+        if ids is not None:
+            return rows.where(reduce(or_, [F.col("customer_id") == F.lit(i) for i in ids]))
+        # A micro-batch is bounded by the trigger; its users are broadcast only when their
+        # counted size allows.
+        probe = F.broadcast(users) if n_users <= MAX_BROADCAST_USERS else users
+        return rows.join(probe, "customer_id", "left_semi")
+
+
+
 REQUEST_SCHEMA = "request_id long, customer_id long, k int"
 
 
@@ -120,14 +222,9 @@ def run_request_stream(spark: SparkSession, src_dir: str, out_dir: str, rejects_
     written to the rejects table. Unknown users are answered with the cold ranking."""
     req = (spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
            .parquet(src_dir))
-    # Seen sets are aggregated once for the whole stream (not per micro-batch) and written in
-    # folders by a hash of the user; a batch reads the folders of its own users only. The
-    # item side is broadcast once for the stream.
-    store = scratch_path(spark, "seen-sets")
-    folder = F.pmod(F.xxhash64("customer_id"), F.lit(SEEN_FOLDERS)).cast("int")
-    (seen_sets_of(seen).withColumn("folder", folder).repartition("folder")
-     .write.partitionBy("folder").parquet(store))
-    seen_all = spark.read.schema("customer_id long, seen array<bigint>, folder int").parquet(store)
+    # Seen sets are aggregated once for the whole stream (not per micro-batch). The item side is
+    # made once for the stream.
+    store = SeenStore(seen, scratch_path(spark, "seen-store"))
     blocks = ItemBlocks(model, limit_bytes)
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -141,13 +238,7 @@ def run_request_stream(spark: SparkSession, src_dir: str, out_dir: str, rejects_
                       F.count_distinct("customer_id").alias("n_users")).first()
         if st["kmax"] is not None:
             batch_users = good.select("customer_id").distinct()
-            # a micro-batch is bounded by the trigger; its user set is broadcast only
-            # when its counted size allows
-            probe = (F.broadcast(batch_users) if st["n_users"] <= MAX_BROADCAST_USERS
-                     else batch_users)
-            own = [r[0] for r in batch_users.select(folder).distinct().collect()]   # bounded
-            seen_b = (seen_all.where(F.col("folder").isin(own))
-                      .join(probe, "customer_id", "left_semi"))
+            seen_b = store.of(batch_users, st["n_users"])
             recs = recommend_topk(batch_users, model, int(st["kmax"]), seen_sets=seen_b,
                                   titles=titles, scale=scale, rank_digits=rank_digits,
                                   blocks=blocks)
@@ -170,9 +261,12 @@ SCORED_SCHEMA = ("customer_id long, movie_id long, rating float, ts timestamp, "
 def run_rolling_rmse(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str,
                      model: MFModel, scale=(1.0, 5.0), window: str = "1 day",
                      watermark: str = "3 days", files_per_batch: int = 1,
-                     state_partitions: int | None = None) -> None:
+                     state_partitions: int | None = None) -> int:
     """Test ratings arriving as files → per (day, segment) RMSE, updated per micro-batch.
 
+    Returns the state's counter of what came too late: (window, segment) sums of a batch that
+    were dropped.
+
     Rows whose window ended before the watermark are dropped; Spark judges lateness
     against the watermark of the previous micro-batch, so a row is dropped once the
     stream has moved past it by more than the delay for a full batch. Updated windows
@@ -194,13 +288,11 @@ def run_rolling_rmse(spark: SparkSession, src_dir: str, out_dir: str, checkpoint
 
     # The state store has one partition per shuffle partition, fixed when the query first
     # starts; the state here is one row per (window, segment), so it may be sized down.
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        _run(agg.writeStream.outputMode("update").foreachBatch(batch), checkpoint)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    sized = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with _conf(spark, sized | {"spark.sql.streaming.numRecentProgressUpdates": "100000"}):
+        q = _run(agg.writeStream.outputMode("update").foreachBatch(batch), checkpoint)
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress
+               for op in p["stateOperators"])
 
 
 def read_rolling_rmse(spark: SparkSession, out_dir: str) -> DataFrame:
