@@ -48,8 +48,7 @@ def forward_fill(df: DataFrame, value_col: str, order_cols: list[str], out_col:
     Range partitions are the blocks; they are checkpointed so that the block and row
     positions seen by the local fill and by the carry table are the same.
     """
-    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = (df.repartitionByRange(partitions, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = (df.repartitionByRange(*([partitions] if partitions else []), *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_blk", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)

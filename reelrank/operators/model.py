@@ -188,15 +188,45 @@ def fit_mf(train: DataFrame, rank: int = 50, reg: float = 0.05, max_iter: int =
                            "bias_sweeps": bias_sweep_count})
 
 
-def save_model(model: MFModel, path: str) -> None:
+MARKER = "_COMMITTED"
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(number, committed) of the versions of a model, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("v")]
+    return sorted((int(f.getName()[1:]), fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f, MARKER)))
+                  for f in found if f.getName()[1:].isdigit())
+
+
+def save_model(model: MFModel, path: str) -> str:
+    """Writes the three tables as a new version and marks it when all are there.
+
+    Readers take the newest marked version, so they never see tables of two fits, and a save
+    that dies leaves the model before it in force. Returns the version's folder.
+    """
     spark = model.user_factors.sparkSession
-    model.user_factors.write.mode("overwrite").parquet(f"{path}/user_factors")
-    model.item_factors.write.mode("overwrite").parquet(f"{path}/item_factors")
-    model.meta(spark).write.mode("overwrite").parquet(f"{path}/model_meta")
+    path = path.rstrip("/")
+    number = max((n for n, _ in _versions(spark, path)), default=0) + 1
+    at = f"{path}/v{number:06d}"
+    model.user_factors.write.mode("overwrite").parquet(f"{at}/user_factors")
+    model.item_factors.write.mode("overwrite").parquet(f"{at}/item_factors")
+    model.meta(spark).write.mode("overwrite").parquet(f"{at}/model_meta")
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/{MARKER}")
+    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(marker, False).close()
+    return at
 
 
 def load_model(spark: SparkSession, path: str) -> MFModel:
-    meta = spark.read.parquet(f"{path}/model_meta").first()
-    return MFModel(meta["global_mean"], spark.read.parquet(f"{path}/user_factors"),
-                   spark.read.parquet(f"{path}/item_factors"), rank=meta["rank"],
+    path = path.rstrip("/")
+    done = [n for n, committed in _versions(spark, path) if committed]
+    if not done:
+        raise FileNotFoundError(f"no complete model in {path}")
+    at = f"{path}/v{done[-1]:06d}"
+    meta = spark.read.parquet(f"{at}/model_meta").first()
+    return MFModel(meta["global_mean"], spark.read.parquet(f"{at}/user_factors"),
+                   spark.read.parquet(f"{at}/item_factors"), rank=meta["rank"],
                    n_users=meta["n_users"], n_items=meta["n_items"], params=dict(meta["params"]))

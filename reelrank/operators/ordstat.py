@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.session import cut_lineage
+
 
 def nth_smallest(df: DataFrame, col: str, idx: int):
     """Value at 0-based position ``idx`` of ``sorted(df[col])`` (duplicates counted).
@@ -46,6 +48,43 @@ def value_at_fraction(df: DataFrame, col: str, fraction: float):
     return None if row is None else row["v"]
 
 
+def value_histogram(df: DataFrame, col: str) -> DataFrame:
+    """(v, n, cum): how often each value of ``col`` occurs, and how many are not larger.
+
+    The values are dealt by ranges; sums inside a range and the sum of the ranges before give
+    ``cum``, so neither the values nor their histogram meet in one task.
+    """
+    hist = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n")).where("v IS NOT NULL")
+    ranged = cut_lineage(hist.repartitionByRange("v").withColumn("part", F.spark_partition_id()),
+                         "value-counts")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("part").agg(F.sum("n").alias("s"))        # one row per range
+               .select(F.col("part").alias("p"),
+                       F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset")))
+    upto = (Window.partitionBy("part").orderBy("v")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (ranged.withColumn("own", F.sum("n").over(upto))
+            .join(F.broadcast(offsets), F.col("part") == F.col("p"))
+            .select("v", "n", (F.col("own") + F.col("offset")).alias("cum")))
+
+
+def interpolated_quantiles(hist: DataFrame, fractions) -> list[float | None]:
+    """Linear quantiles of a ``value_histogram``: between the values at the places below and
+    above ``fraction * (count - 1)``. All None for an empty table."""
+    total = hist.agg(F.max("cum")).first()[0]
+    if not total:
+        return [None for _ in fractions]
+    places = [f * (total - 1) for f in fractions]
+    wanted = sorted({int(p) for p in places} | {min(int(p) + 1, total - 1) for p in places})
+    row = hist.agg(*[F.min(F.when(F.col("cum") > w, F.col("v"))).cast("double").alias(f"at{w}")
+                     for w in wanted]).first()
+    out = []
+    for p in places:
+        low, high = row[f"at{int(p)}"], row[f"at{min(int(p) + 1, total - 1)}"]
+        out.append(low + (high - low) * (p - int(p)))
+    return out
+
+
 def quantile_position(n: int, fraction: float) -> int:
     """``int(n * fraction)`` with Python float semantics (matches the original pipeline)."""
     return int(n * fraction)

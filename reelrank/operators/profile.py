@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.operators.ordstat import interpolated_quantiles, value_histogram
+
 RATING_COLS = ("customer_id", "movie_id", "rating", "date")
 
 
@@ -43,8 +45,11 @@ def rating_distribution(df: DataFrame) -> DataFrame:
 
 
 def mean_median(df: DataFrame, col: str = "rating") -> DataFrame:
-    x = F.col(col).cast("double")
-    return df.agg(F.avg(x).alias(f"mean_{col}"), F.median(x).alias(f"median_{col}"))
+    hist = value_histogram(df.select(F.col(col).cast("double").alias(col)), col)
+    middle = interpolated_quantiles(hist, [0.5])[0]
+    mean = F.sum(F.col("v") * F.col("n")) / F.sum("n")
+    return hist.agg(mean.alias(f"mean_{col}")).withColumn(
+        f"median_{col}", F.lit(middle).cast("double"))
 
 
 def counts_per(df: DataFrame, key: str) -> DataFrame:
@@ -53,21 +58,49 @@ def counts_per(df: DataFrame, key: str) -> DataFrame:
 
 def count_describe(df: DataFrame, key: str) -> DataFrame:
     """pandas ``describe()`` of the per-key row counts (std with ddof=1, linear quantiles)."""
-    c = counts_per(df, key)
-    q = F.percentile(F.col("n"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (c.agg(F.count(F.lit(1)).alias("count"), F.avg("n").alias("mean"),
-                  F.stddev_samp("n").alias("std"), F.min("n").alias("min"), q.alias("_q"),
-                  F.max("n").alias("max"))
-            .select("count", "mean", "std", F.col("min").cast("double").alias("min"),
-                    F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                    F.col("_q")[2].alias("p75"), F.col("max").cast("double").alias("max")))
+    hist = value_histogram(counts_per(df, key), "n")
+    quarters = interpolated_quantiles(hist, [0.25, 0.5, 0.75])
+    mean = hist.agg(F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()[0]
+    spread = F.sum(F.col("n") * (F.col("v") - F.lit(mean)) ** 2)
+    std = F.when(F.sum("n") > 1, F.sqrt(spread / (F.sum("n") - 1)))
+    return hist.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+                    F.lit(mean).cast("double").alias("mean"), std.alias("std"),
+                    F.min("v").cast("double").alias("min"),
+                    *[F.lit(q).cast("double").alias(f"p{p}")
+                      for p, q in zip((25, 50, 75), quarters, strict=True)],
+                    F.max("v").cast("double").alias("max"))
 
 
 def count_percentiles(df: DataFrame, key: str, pcts=(50, 75, 90, 95, 99)) -> DataFrame:
-    c = counts_per(df, key)
-    q = F.percentile(F.col("n"), F.array(*[F.lit(p / 100.0) for p in pcts]))
-    row = c.agg(q.alias("_q"))
-    return row.select(*[F.col("_q")[i].alias(f"p{p}") for i, p in enumerate(pcts)])
+    hist = value_histogram(counts_per(df, key), "n")
+    values = interpolated_quantiles(hist, [p / 100.0 for p in pcts])
+    return df.sparkSession.createDataFrame([tuple(values)],
+                                           ", ".join(f"p{p} double" for p in pcts))
+
+
+# log2 of the registers of a sketch: a standard error of 0.8 %.
+SKETCH_BITS = 14
+
+
+def monthly_sketches(df: DataFrame, path: str) -> DataFrame:
+    """Writes one HyperLogLog sketch of users and movies per month and returns the table.
+
+    Sketches of new months can be written beside the old ones; any months are united from the
+    table without their ratings (``united``)."""
+    (df.groupBy(F.date_format("date", "yyyy-MM").alias("year_month"))
+     .agg(F.count(F.lit(1)).alias("n_ratings"),
+          F.hll_sketch_agg("customer_id", SKETCH_BITS).alias("users"),
+          F.hll_sketch_agg("movie_id", SKETCH_BITS).alias("movies"))
+     .write.mode("overwrite").parquet(path))
+    return df.sparkSession.read.parquet(path)
+
+
+def united(sketches: DataFrame, *by) -> DataFrame:
+    """(by, n_ratings, n_users, n_movies): estimates of the united sketches."""
+    return sketches.groupBy(*by).agg(
+        F.sum("n_ratings").alias("n_ratings"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("n_users"),
+        F.hll_sketch_estimate(F.hll_union_agg("movies")).alias("n_movies"))
 
 
 def count_histogram(df: DataFrame, key: str, bins: int = 80) -> DataFrame:

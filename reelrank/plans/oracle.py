@@ -517,6 +517,34 @@ ORACLE["hyperparameter_sweep"] = sql("""
   SELECT CAST(s.f AS INTEGER) AS n_factors, CAST(s.r AS DOUBLE) AS reg_all,
          round(rmse, 6) AS bias_test_rmse, TRUE AS als_passes
   FROM p_test_rmse CROSS JOIN (VALUES (100, 0.02), (50, 0.05)) AS s(f, r)""", "p_test_rmse")
+ORACLE["distinct_sketches"] = sql("""
+  SELECT coalesce(year_month, 'all') AS year_month, count(*) AS n_ratings,
+         count(DISTINCT customer_id) AS exact_users, count(DISTINCT movie_id) AS exact_movies,
+         TRUE AS users_within, TRUE AS movies_within
+  FROM (SELECT *, strftime(date, '%Y-%m') AS year_month FROM ratings)
+  GROUP BY GROUPING SETS ((year_month), ())""", "ratings")
+ORACLE["dense_index_inverse"] = sql("""
+  SELECT idx, customer_id FROM (
+    SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx
+    FROM (SELECT DISTINCT customer_id FROM ratings)) SEMI JOIN test USING (customer_id)""",
+    "ratings", "test")
+ORACLE["rating_guard"] = sql("""
+  SELECT CAST(movie_id AS INTEGER) AS movie_id, CAST(customer_id AS INTEGER) AS customer_id,
+         rating, date FROM ratings WHERE customer_id % 19 <> 0""", "ratings")
+cte("log_train", "SELECT r.* FROM ratings_all r CROSS JOIN cut WHERE r.date < cut.cut",
+    "ratings_all", "cut")
+cte("log_test", "SELECT r.* FROM ratings_all r CROSS JOIN cut WHERE r.date >= cut.cut",
+    "ratings_all", "cut")
+cte("log_known", "SELECT DISTINCT customer_id, TRUE AS known FROM log_train", "log_train")
+ORACLE["run_log"] = sql("""
+  SELECT 'r1' AS run_id, 'train' AS stage, (SELECT count(*) FROM log_test) AS n_test_rows,
+         (SELECT count(*) FROM log_train) AS n_train_rows,
+         (SELECT count(*) FROM log_known) AS num_users,
+         round((SELECT avg(CASE WHEN known THEN CAST(0 AS DOUBLE) ELSE 1 END)
+                FROM log_test LEFT JOIN log_known USING (customer_id)), 6) AS cold_row_fraction,
+         CAST(4 AS INTEGER) AS n_factors, CAST(NULL AS INTEGER) AS eval_k
+  UNION ALL SELECT 'r1', 'evaluate', (SELECT count(*) FROM log_test), NULL, NULL, NULL, NULL,
+                   CAST(10 AS INTEGER)""", "log_train", "log_test", "log_known")
 ORACLE["ingest_report"] = sql("""
   SELECT m.n + m.odd + r.n AS n_lines, m.n + m.odd AS n_headers, m.odd AS n_malformed_headers,
          r.n_bad_customer, r.n_bad_rating, r.n_bad_date, CAST(0 AS BIGINT) AS n_no_movie,

@@ -24,7 +24,7 @@ from reelrank.plans.derive import (QUERY_MIN_MOVIE_RATINGS, QUERY_MIN_USER_RATIN
                                    Derived)
 from reelrank.config import Params
 from reelrank.session import cut_lineage, scratch_path
-from reelrank.sources import blocktext, tables
+from reelrank.sources import blocktext, sinks, tables
 from reelrank.sources import titles as titles_src
 from reelrank.streaming import jobs as sjobs
 
@@ -355,6 +355,37 @@ def monthly_volume(spark, sf_dir):
     return profile.monthly_volume(Derived(spark, sf_dir).ratings)
 
 
+SKETCH_BOUND = 0.03             # beyond three standard errors
+
+
+@query
+def distinct_sketches(spark, sf_dir):
+    """Exact distinct users and movies per month and overall, and whether the stored sketches,
+    united for the last row, agree with them within 3 %."""
+    d = Derived(spark, sf_dir)
+    rows = d.ratings.withColumn("year_month", F.date_format("date", "yyyy-MM"))
+    stored = profile.monthly_sketches(d.ratings, scratch_path(spark, "sketches"))
+    about = profile.united(stored, "year_month").unionByName(
+        profile.united(stored.withColumn("year_month", F.lit("all")), "year_month"))
+
+    def exact(key):
+        pairs = rows.select("year_month", key).distinct()
+        months = pairs.groupBy("year_month").agg(F.count(key).alias("n"))
+        return months.unionByName(pairs.select(key).distinct().agg(F.count(key).alias("n"))
+                                  .select(F.lit("all").alias("year_month"), "n"))
+
+    users, movies = (exact(k).withColumnRenamed("n", n) for k, n in (
+        ("customer_id", "exact_users"), ("movie_id", "exact_movies")))
+
+    def near(a, b):
+        return F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), F.col(b) * SKETCH_BOUND)
+
+    return (about.join(users, "year_month").join(movies, "year_month")
+            .select("year_month", "n_ratings", "exact_users", "exact_movies",
+                    near("n_users", "exact_users").alias("users_within"),
+                    near("n_movies", "exact_movies").alias("movies_within")))
+
+
 @query
 def sparsity(spark, sf_dir):
     s = profile.sparsity(Derived(spark, sf_dir).ratings)
@@ -404,6 +435,28 @@ def dense_index_query(spark, sf_dir):
     return sampling.dense_index(Derived(spark, sf_dir).ratings, "customer_id")
 
 
+@query
+def dense_index_inverse(spark, sf_dir):
+    """Positions of the users of the test set, led back to their ids."""
+    d = Derived(spark, sf_dir)
+    index = cut_lineage(sampling.dense_index(d.ratings, "customer_id"), "user-index")
+    asked = d.test.select("customer_id").distinct().join(index, "customer_id").select("idx")
+    return sampling.inverse_index(index, asked, "customer_id")
+
+
+@query
+def rating_guard(spark, sf_dir):
+    """The preprocess job with its range guard on text in which some ratings are 9 (B17)."""
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "guard")
+    odd = d.ratings.withColumn("rating", F.when(F.col("customer_id") % 19 == 0, F.lit(9.0))
+                               .otherwise(F.col("rating")).cast("float"))
+    blocktext.write_block_text(odd, f"{base}/raw")
+    out = jobs.preprocess(spark, f"{base}/raw", base, d.params.replace(
+        min_movie_ratings=1, min_user_ratings=1), rating_guard=True)
+    return out.select("movie_id", "customer_id", "rating", "date")
+
+
 # --- text sources (A1–A7, E1) --------------------------------------------------------
 
 @query("parse_block_text")
@@ -607,9 +660,36 @@ def hyperparameter_sweep(spark, sf_dir):
     """The documented settings on planted ratings, one row each (H15)."""
     d = Derived(spark, sf_dir)
     *_, flat, fits = _planted_fits(d, SWEEP_SETTINGS)
-    return spark.createDataFrame(
-        [(rank, reg, round(flat["test_rmse"], 6), _beats(g, flat)) for rank, reg, g in fits],
-        "n_factors int, reg_all double, bias_test_rmse double, als_passes boolean")
+    log = scratch_path(spark, "sweep-log")
+    for rank, reg, g in fits:
+        sinks.append_run_log(spark, log, "sweep", f"fit:{rank}:{reg}",
+                             params={"n_factors": rank, "reg_all": reg},
+                             metrics={**g.asDict(), "bias_test_rmse": flat["test_rmse"]},
+                             tags={"als_passes": _beats(g, flat)})
+    return sinks.read_run_log(spark, log).select(
+        F.col("params")["n_factors"].cast("int").alias("n_factors"),
+        F.col("params")["reg_all"].cast("double").alias("reg_all"),
+        r6(F.col("metrics")["bias_test_rmse"]).alias("bias_test_rmse"),
+        F.col("tags")["als_passes"].cast("boolean").alias("als_passes"))
+
+
+@query
+def run_log(spark, sf_dir):
+    """Train and evaluate under one run, the evaluation twice: one log row per stage."""
+    d = Derived(spark, sf_dir)
+    base = scratch_path(spark, "run-log")
+    p = d.params.replace(data_sample_fraction=1.0, n_factors=4, n_epochs=2)
+    model, test = jobs.train(spark, d.ratings_all, base, p, run_log=f"{base}/runs", run_id="r1")
+    for _ in range(2):
+        jobs.evaluate(spark, model, test, base, p, run_log=f"{base}/runs")
+    m, t = F.col("metrics"), F.col("tags")
+    return sinks.read_run_log(spark, f"{base}/runs").select(
+        "run_id", "stage", m["n_test_rows"].cast("bigint").alias("n_test_rows"),
+        m["n_train_rows"].cast("bigint").alias("n_train_rows"),
+        m["num_users"].cast("bigint").alias("num_users"),
+        r6(m["cold_row_fraction"]).alias("cold_row_fraction"),
+        F.col("params")["n_factors"].cast("int").alias("n_factors"),
+        t["eval_k"].cast("int").alias("eval_k"))
 
 
 @query

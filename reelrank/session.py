@@ -68,6 +68,14 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch tables of this session's folder. Call it when no result that was
+    read from them is in use any more (for example at the end of a job)."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{ensure_checkpoint_dir(spark).rstrip('/')}/reelrank-scratch")
+    base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(base, True)
+
+
 _SHIPPED: set[int] = set()
 
 

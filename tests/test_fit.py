@@ -118,3 +118,21 @@ def test_joint_fit_does_not_depend_on_how_it_is_dealt(spark, planted, monkeypatc
         assert all(np.allclose(a, b, atol=1e-9) for a, b in zip(want, got, strict=True))
     with pytest.raises(ValueError):
         fit_joint(train.limit(0), rank=2)
+
+
+def test_a_save_that_dies_leaves_the_old_model(spark, tiny_model, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    save_model(tiny_model, path)
+    other = type(tiny_model)(9.0, tiny_model.user_factors.limit(1), tiny_model.item_factors.limit(1),
+                             rank=tiny_model.rank)
+    monkeypatch.setattr(type(other), "meta", lambda self, spark: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        save_model(other, path)                    # dies after two of three tables
+    monkeypatch.undo()
+    back = load_model(spark, path)
+    assert back.global_mean == tiny_model.global_mean
+    assert back.item_factors.count() == tiny_model.item_factors.count()
+    save_model(other, path)
+    assert load_model(spark, path).global_mean == 9.0
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, str(tmp_path / "nothing"))

@@ -121,3 +121,17 @@ def test_forward_fill_global_order(spark):
     pdf["want"] = pdf["v"].ffill()
     got = forward_fill(df, "v", ["ts", "id"], "f", partitions=6).toPandas().sort_values(["ts", "id"])
     assert np.array_equal(got["f"].to_numpy(), pdf["want"].to_numpy(), equal_nan=True)
+
+
+def test_quantiles_from_a_histogram(spark):
+    """As NumPy interpolates, on even and odd sizes, without a percentile aggregate."""
+    import numpy as np
+    from reelrank.operators.ordstat import interpolated_quantiles, value_histogram
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 1000, 1001):
+        x = rng.integers(0, 60, n)
+        hist = value_histogram(spark.createDataFrame([(int(v),) for v in x], "v long"), "v")
+        qs = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
+        assert np.allclose(interpolated_quantiles(hist, qs), np.quantile(x, qs))
+        assert "percentile" not in hist._jdf.queryExecution().toString()
+    assert interpolated_quantiles(hist.where("v < 0"), [0.5]) == [None]
