@@ -228,15 +228,27 @@ def test_lm_keeps_every_pair(spark, docs):
             two.update(zip(["end", *w], w, strict=False))
     assert len(two) > 200_000
     value = lambda c: 0 if not c else 1 if c == 1 else 1.33 * 2 ** int(math.log2(c))
-    whole, off = sum(one.values()) + 0.1 * (len(one) + 1), []
+    whole, off = sum(one.values()) + 0.1 * (len(one) + 1), {False: [], True: []}
     for d, w in texts.items():
         want = 0.0
         for before, t in zip(["end", *w], w, strict=False):
             q1, q2 = value(one[before]), value(two[before, t])
             want += math.log10(0.2 * q2 / max(q1, q2, 1) + 0.8 * (value(one[t]) + 0.1) / whole)
-        if not p.loc[d].held_out:  # all its pairs are in the model
-            off.append(abs(p.loc[d].score - want) / len(w))
-    assert np.mean(off) < 0.01
+        off[bool(p.loc[d].held_out)].append(abs(p.loc[d].score - want) / len(w))
+    # A token: pairs of training texts are all in the model; on held-out ones false positives show.
+    assert np.mean(off[False]) < 0.01 and np.mean(off[True]) < 0.05 and len(off[True]) > 50
+    assert max(off[True]) < 0.3
+
+
+def test_lm_passes_do_not_matter(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 10
+
+    def scores(limit):
+        out = bloom_lm.score_texts(d, train=rest != 0, held_out=rest == 0, filter_bytes=limit)
+        return sorted(map(tuple, out.collect()))
+
+    assert scores(10 ** 9) == scores(30_000) == scores(1)
 
 
 def test_pipeline(spark, docs):
