@@ -79,6 +79,38 @@ def test_ann_recall_where_the_share_binds(spark):
     assert np.mean([len(got[250 * i] & set(b.tolist())) / 20 for i, b in enumerate(best)]) >= 0.95
 
 
+@pytest.mark.parametrize("kind", ["crowd", "norms"])
+def test_ann_recall_on_uneven_vectors(spark, kind):
+    """A fifth of the vectors within 0.05 of one, or norms that are log-normal."""
+    rng = np.random.default_rng(9)
+    n = 20_000
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    crowd = rng.permutation(n)[:n // 5]
+    if kind == "crowd":
+        near = rng.normal(size=(len(crowd), 64))
+        x[crowd] = x[0] + 0.05 * rng.random((len(crowd), 1)) * near / np.linalg.norm(
+            near, axis=1, keepdims=True)
+    else:
+        x *= rng.lognormal(0.0, 0.25, (n, 1))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                  "vec_id long, embedding array<double>")
+    compared = spark.sparkContext.accumulator(0)
+    got = permutation_index.search(table, query_every=100, counter=compared).toPandas() \
+        .groupby("query_id").vec_id.agg(set)
+    recall = {}
+    for q in range(0, n, 100):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall[q] = len(got[q] & set(np.argsort(-s)[:20].tolist())) / 20
+    share = compared.value / (n * len(recall))
+    print(kind, "recall", np.mean(list(recall.values())), min(recall.values()), "compared", share)
+    assert np.mean(list(recall.values())) >= 0.95 and share < 0.45
+    if kind == "crowd":
+        inside = [r for q, r in recall.items() if q in set(crowd.tolist())]
+        assert np.mean(inside) >= 0.9
+
+
 def test_language_held_out(spark, docs):
     p = queries.op3_language_ecoc(spark, SF).toPandas().merge(docs, on="doc_id")
     assert (p.held_out == [zlib.crc32(str(d).encode()) % 5 == 0 for d in p.doc_id]).all()
