@@ -112,7 +112,7 @@ def test_joint_fit_does_not_depend_on_how_it_is_dealt(spark, planted, monkeypatc
     monkeypatch.setattr(joint, "HOLD_RATINGS", 40)
     monkeypatch.setattr(joint, "CELL_RATINGS", 7)
     monkeypatch.setattr(joint, "BLOCK_BYTES", 8 * 9 * 60)
-    got = fit(hot_ratings=40)
+    got = fit(hot_ratings=58)
     assert all(np.allclose(a, b, atol=1e-9) for a, b in zip(want, got, strict=True))
     with pytest.raises(ValueError):
         fit_joint(train.limit(0), rank=2)
