@@ -134,3 +134,27 @@ def test_a_save_that_dies_leaves_the_old_model(spark, tiny_model, tmp_path, monk
     assert load_model(spark, path).global_mean == 9.0
     with pytest.raises(FileNotFoundError):
         load_model(spark, str(tmp_path / "nothing"))
+
+
+def test_a_folded_block_of_many_keys_is_solved_whole():
+    """More keys than are solved at once, held together or folded on the way: the same vectors."""
+    import numpy as np
+
+    from reelrank.operators import joint
+    rng = np.random.default_rng(3)
+    keys, other, rank = 2 * joint.SOLVE_AT_ONCE + 9, 40, 2
+    own = np.r_[np.arange(keys), rng.integers(0, keys, 3000)].astype(np.int32)
+    item = rng.integers(0, other, len(own)).astype(np.int32)
+    target = rng.normal(size=len(own))
+    vectors = rng.normal(size=(other, rank + 1))
+
+    def solved(hold):
+        block = joint.Block(rank, hold)
+        block.message(np.arange(other, dtype=np.int32).tobytes(), vectors.tobytes())
+        for i in range(0, len(own), 500):
+            block.cell(0, *(x[i:i + 500].tobytes() for x in (own, item, target)))
+        return block.solve(0.05)
+
+    held, folded = solved(10 ** 9), solved(700)
+    assert len(held[0]) == len(folded[0]) == keys
+    assert np.allclose(held[0], folded[0]) and np.allclose(held[1:], folded[1:])
