@@ -8,6 +8,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from reelrank.operators.model import MFModel
+from reelrank.operators.scoring import estimate_pairs
 from reelrank.streaming import jobs as sj
 
 
@@ -108,6 +109,26 @@ def test_rolling_rmse_drops_rows_behind_the_watermark(spark):
     assert res == {(10, "warm"): 1, (11, "warm"): 1, (12, "warm"): 2}
 
 
+def test_a_batch_shuffles_only_the_vectors_of_its_rows(spark):
+    """A batch of two rows against 4,000 users and items: the tables are met by broadcast ids."""
+    uf = spark.range(4000).select(F.col("id").alias("customer_id"), (F.col("id") / 1e4).alias("b_u"),
+                                  F.array(F.lit(1.0), F.col("id") / 1e3).alias("p"))
+    itf = spark.range(4000).select(F.col("id").alias("movie_id"), (F.col("id") / 1e4).alias("b_i"),
+                                   F.array(F.col("id") / 1e3, F.lit(0.1)).alias("q"))
+    m = MFModel(1.0, uf, itf, rank=2, n_users=4000, n_items=4000)
+    day = dt.datetime(2005, 1, 10, tzinfo=dt.timezone.utc)
+    rows = spark.createDataFrame([(1, 2, 4.0, day, False), (1, 9000, 3.0, day, False),
+                                  (9000, 3000, 3.0, day, True), (None, None, 3.0, day, True)],
+                                 sj.SCORED_SCHEMA)
+    got = sj.score_batch(rows, m)
+    want = estimate_pairs(rows, m)
+    cols = want.columns
+    key = [F.col(c).cast("string") for c in cols]
+    assert sorted(map(str, got.select(key).collect())) == sorted(map(str, want.select(key).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 2 and plan.count("strategy=broadcast") == 2
+
+
 def test_latest_ratings_survive_replays(spark):
     """Keyed state over several runs, a batch whose commit was lost, and rows that come twice."""
     base = _dir()
