@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from reelrank.operators.scoring import estimate_pairs
-from reelrank.operators.skew import hot_keys, salted, skew_join
+from reelrank.operators.skew import hot_keys, lookup_join, salted, skew_join
 from reelrank.operators.split import flag_cold_users
 
 
@@ -57,3 +57,17 @@ def test_scoring_and_cold_flag_with_salting(spark, tiny_model):
     f2 = flag_cold_users(test, full, dt.date(2000, 6, 1), max_rows_per_key=10)
     assert sorted(f1.collect()) == sorted(f2.collect())
     assert f2.filter("customer_id = 0 AND NOT is_cold_user").count() == 3000
+
+
+def test_lookup_join_in_slices_is_the_plain_join(spark):
+    """One slice, three slices and too many: the same rows, and ``big`` is shuffled in the last only."""
+    big = spark.range(500).select(F.when(F.col("id") % 50 != 0, F.col("id") % 90).alias("k"),
+                                  F.col("id").alias("x"))
+    small = spark.range(60).select(F.col("id").alias("k"), (F.col("id") / 7).alias("b"))
+    for how in ("left", "inner"):
+        want = sorted(map(str, big.join(small, "k", how).collect()))
+        for size, joins in ((60 * 48, 1), (20 * 48, 3), (48, 0)):
+            got = lookup_join(big, small, "k", how, slice_bytes=size)
+            assert sorted(map(str, got.collect())) == want
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("strategy=broadcast") == joins
