@@ -169,3 +169,26 @@ def test_seen_store_reads_the_files_of_its_users(spark):
         assert len(got.inputFiles()) <= most
     plan = store.of(spark.createDataFrame([(5,)], "customer_id long"), 1)
     assert "EqualTo(customer_id,5)" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingest_parts_of_several_files_are_one_batch_each(spark, monkeypatch, tmp_path):
+    """Parts above the rows of a file are written by several tasks; newest date, part, rating win."""
+    from reelrank.plans import queries as q
+    orders = [(i, i % 9, dt.date(2000, 1, 1 + i % 5)) for i in range(200)]
+    lines = [(i % 200, i % 13, 1.0 + i * 7 % 50) for i in range(800)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date").write.parquet(
+        f"{tmp_path}/sf/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(
+        f"{tmp_path}/sf/lineitem.parquet")
+    monkeypatch.setattr(q, "INGEST_ROWS_PER_FILE", 50)
+    monkeypatch.setattr(q, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    got = {(r.movie_id, r.customer_id): (r.date, r.rating)
+           for r in q.stream_rating_ingest(spark, f"{tmp_path}/sf").collect()}
+    want = {}
+    for o, movie, quantity in lines:
+        key = movie, orders[o][1]
+        new = orders[o][2], o % 4, min(5.0, 1.0 + (quantity - 1) // 10)
+        want[key] = max(want.get(key, new), new)
+    assert got == {k: (d, r) for k, (d, _, r) in want.items()}
+    assert all(len(glob.glob(f"{tmp_path}/ingest/src/part{i}/*.txt")) > 1 for i in range(4))
+    assert len(glob.glob(f"{tmp_path}/ingest/out/batch_id=*")) == 4
